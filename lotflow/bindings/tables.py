@@ -43,7 +43,7 @@ _ITEM = (
 _DOC = _code("l_orderkey")
 _YEAR = "cast(1995 + {0} % 7 as string)"
 _MATNR = _code("l_partkey")
-_CHARG = _code("l_suppkey % 100", 6)
+_CHARG = _code("l_suppkey % 10", 6)
 _PLANT = _pick("l_suppkey % 11", PLANTS)
 _ORDER = "concat(case when {0} % 50 = 7 then '0014' else '0010' end, " + _code("{0}", 8) + ")"
 _MAKER = (

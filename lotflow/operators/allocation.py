@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lotflow.functions.ids import assign_row_id
 from lotflow.operators.routes import ANY, Routes
 from lotflow.operators.scan import (
     CHUNK,
+    MIN_HOT_ROWS,
+    Chunked,
     HotKeys,
     chunk_groups,
     count_by,
@@ -128,65 +130,72 @@ def fifo_allocate(
 # follow the phases per material on the totals, then lay every line's draws out
 # with running sums.
 
+BY_PLANT = ["matnr", "plant_no"]
+BY_LOCATION = ["matnr", "plant_no", "location_no"]
+BY_BUCKET = ["matnr", "bucket"]
 
-def _open_demand(demand: DataFrame, routes: Routes) -> tuple[DataFrame, DataFrame]:
+
+def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None) -> tuple[Chunked, DataFrame, int]:
+    """Demand laid end to end per (material, plant) as ``[s, e)``, and the lines without a route.
+
+    From here on ``s`` stands for a line's place in its phase, so the wide
+    business key is sorted and shuffled once. ``first`` is that key, kept on the
+    first line of each phase only.
+    """
     spark = demand.sparkSession
     located = demand.join(F.broadcast(routes.plants_df(spark)), "werks", "left").join(
         F.broadcast(routes.own_df(spark)), ["werks", "lgort"], "left"
     )
     routed = located.where(F.col("plant_no").isNotNull() & (F.col("bal_qty") > 0)).select(
         *DEMAND_ORDER,
-        "matnr",
-        "plant_no",
+        *BY_PLANT,
         F.coalesce("location_no", F.lit(0)).alias("location_no"),
         milli(F.col("bal_qty")).alias("units"),
     )
     unrouted = located.where(F.col("plant_no").isNull()).select(F.col("uuid").alias("demand_id"))
-    return routed, unrouted
+    hot = hot_keys(count_by(routed, BY_PLANT), BY_PLANT, min_hot_rows)
+    step = chunk_groups(routed, BY_PLANT, DEMAND_ORDER, hot)
+    lines = step.intervals("units", "s", "e").select(
+        *BY_LOCATION,
+        CHUNK,
+        F.col("uuid").alias("demand_id"),
+        "units",
+        "s",
+        "e",
+        F.when(F.col("s") == 0, F.struct(*DEMAND_ORDER)).alias("first"),
+    )
+    return replace(step, df=materialize(lines, "demand")), unrouted, hot.total
 
 
-def _needs(demand: DataFrame) -> DataFrame:
-    """Totals per (material, plant, own location) with the first line's position."""
-    return demand.groupBy("matnr", "plant_no", "location_no").agg(
-        F.sum("units").alias("units"),
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct(*DEMAND_ORDER)).alias("first"),
+def _placed_lots(lots: DataFrame, routes: Routes, min_hot_rows: int | None) -> tuple[DataFrame, int]:
+    """Lots of the buckets in use, laid end to end per (material, bucket)."""
+    held = (
+        stock_bucket(lots.where(F.col("bal_qty") > 0), routes)
+        .join(F.broadcast(routes.buckets_df(lots.sparkSession)), ["werks", "sto_lgort"])
+        .select(*BY_BUCKET, *LOT_ORDER, milli(F.col("bal_qty")).alias("units"))
     )
+    hot = hot_keys(count_by(held, BY_BUCKET), BY_BUCKET, min_hot_rows)
+    placed = chunk_groups(held, BY_BUCKET, LOT_ORDER, hot).intervals("units", "start", "end")
+    return materialize(placed.select(*BY_BUCKET, F.col("uuid").alias("lot_id"), "start", "end"), "lots"), hot.total
 
 
-def _materials(needs: DataFrame, stock: DataFrame, known: DataFrame | None) -> DataFrame:
-    """One row per demanded material; list lengths are bounded by the routes."""
-    plants = needs.groupBy("matnr", "plant_no").agg(F.min("first").alias("first"))
-    order = plants.groupBy("matnr").agg(
-        F.transform(
-            F.array_sort(F.collect_list(F.struct("first", "plant_no"))), lambda x: x["plant_no"]
-        ).alias("phases")
-    )
-    wanted = needs.groupBy("matnr").agg(
-        F.collect_list(F.struct("plant_no", "location_no", "units")).alias("needs")
-    )
-    held = stock.groupBy("matnr").agg(F.collect_list(F.struct("bucket", "units")).alias("stock"))
-    rows = wanted.join(order, "matnr").join(held, "matnr")
-    if known is None:
-        return rows.withColumn("known", F.lit(None).cast("array<struct<plant_no:int,location_no:int,units:bigint>>"))
-    left = known.groupBy("matnr").agg(
-        F.collect_list(F.struct("plant_no", "location_no", "units")).alias("known")
-    )
-    return rows.join(left, "matnr", "left")
+def _needs(lines: DataFrame) -> DataFrame:
+    """Totals per (material, plant, own location)."""
+    return lines.groupBy(*BY_LOCATION).agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("n"))
 
 
-def _draw(step, supply: DataFrame, slot: int) -> tuple[DataFrame, DataFrame]:
-    """Lay the lines of one slot on its buckets: draws, and what each line still needs.
+def _phases(lines: DataFrame) -> DataFrame:
+    """Turn of each plant: by the key of its first line, at most one row per plant and material."""
+    turn = F.row_number().over(Window.partitionBy("matnr").orderBy("first"))
+    return lines.where(F.col("s") == 0).select(*BY_PLANT, turn.alias("turn"))
 
-    ``step`` is a chunked demand whose group shares a list of buckets.
-    """
-    keys = step.keys
-    lines = step.intervals("units", "s", "e")
-    offered = supply.where(F.col("slot") == slot).select(*keys, "buckets", "total")
-    joined = lines.join(step.spread(offered), [*keys, CHUNK], "left")
-    total = F.coalesce("total", F.lit(0))
-    rest = F.greatest(F.col("e") - F.greatest(F.col("s"), total), F.lit(0))
-    left = joined.withColumn("units", rest).where(F.col("units") > 0).drop("s", "e", "buckets", "total", CHUNK)
+
+def _draw(lines: DataFrame, step: Chunked, supply: DataFrame, slot: int) -> tuple[DataFrame, DataFrame]:
+    """Lay the lines of one slot on its buckets: draws, and what each line still needs."""
+    offered = supply.where(F.col("slot") == slot).select(*step.keys, "buckets", "total")
+    joined = lines.join(step.spread(offered), step.parts, "left")
+    rest = F.greatest(F.col("e") - F.greatest(F.col("s"), F.coalesce("total", F.lit(0))), F.lit(0))
+    left = joined.withColumn("units", rest).where(F.col("units") > 0)
 
     def piece(b):
         begin = F.greatest(F.col("s"), b["before"])
@@ -198,10 +207,8 @@ def _draw(step, supply: DataFrame, slot: int) -> tuple[DataFrame, DataFrame]:
         )
 
     pieces = F.filter(F.transform("buckets", piece), lambda d: d["end"] > d["start"])
-    draws = joined.select("matnr", F.col("uuid").alias("demand_id"), F.explode(pieces).alias("d")).select(
-        "matnr", F.col("d.bucket").alias("bucket"), "demand_id", F.col("d.start").alias("start"), F.col("d.end").alias("end")
-    )
-    return draws, left
+    draws = joined.select("matnr", "demand_id", F.inline(pieces))
+    return draws, left.select(*BY_LOCATION, "demand_id", "place", "units")
 
 
 def waterfall_allocate(
@@ -217,72 +224,60 @@ def waterfall_allocate(
     buckets in route order and from the lots of a bucket in ``LOT_ORDER``.
     """
     routes = routes or Routes()
-    spark = lots.sparkSession
-    demand, unrouted = _open_demand(demand, routes)
-    demand = materialize(demand, "demand")
-    held = (
-        stock_bucket(lots.where(F.col("bal_qty") > 0), routes)
-        .join(F.broadcast(routes.buckets_df(spark)), ["werks", "sto_lgort"])
-        .select("matnr", "bucket", *LOT_ORDER, milli(F.col("bal_qty")).alias("units"))
-    )
-    held = materialize(held, "lots")
-
-    needs = materialize(_needs(demand), "needs")
-    stock = materialize(
-        held.groupBy("matnr", "bucket").agg(F.sum("units").alias("units"), F.count(F.lit(1)).alias("n")), "stock"
-    )
-    by_plant = ["matnr", "plant_no"]
-    by_location = ["matnr", "plant_no", "location_no"]
-    hot_plants = hot_keys(needs, by_plant, min_hot_rows)
-    hot_locations = hot_keys(needs, by_location, min_hot_rows) if hot_plants else None
-
+    step, unrouted, n_lines = _placed_demand(demand, routes, min_hot_rows)
+    lines = step.df.drop("first").withColumn("place", F.col("s"))
+    lot_lines, n_lots = _placed_lots(lots, routes, min_hot_rows)
+
+    needs = materialize(_needs(lines), "needs")
+    phases = materialize(_phases(step.df), "phases")
+    stock = lot_lines.groupBy(*BY_BUCKET).agg(F.max("end").alias("units"), F.count(F.lit(1)).alias("n"))
+    stock = materialize(stock, "stock")
+    supply, pending = fold_materials(needs, phases, stock, None, routes)
     split = [p for p, phase in routes.phases.items() if phase.own]
-    split_no = [routes.plant_no[p] for p in split]
-    starts_own = [routes.plant_no[p] for p in split if not routes.phases[p].before]
-
-    # lines on the first slot of their plant, and the supply each slot finds there
-    first = demand.where(~F.col("plant_no").isin(starts_own)) if starts_own else demand
-    first_step = chunk_groups(first, by_plant, DEMAND_ORDER, hot_plants)
-    supply, pending = fold_materials(_materials(needs, stock, None), routes)
+    own_plants = F.col("plant_no").isin([routes.plant_no[p] for p in split])
+    own_first = F.col("plant_no").isin([routes.plant_no[p] for p in split if not routes.phases[p].before])
     known = None
     while pending is not None and not pending.isEmpty():
         # a plant with shared sources before its own ones: find what each own
         # location still needs after them, then follow the phases further
-        lines = first_step.intervals("units", "s", "e").where(F.col("plant_no").isin(split_no))
-        waiting = lines.join(first_step.spread(pending), [*by_plant, CHUNK])
+        waiting = lines.where(own_plants).join(step.spread(pending), step.parts)
         rest = F.greatest(F.col("e") - F.greatest(F.col("s"), F.col("total")), F.lit(0))
-        found = waiting.groupBy(*by_location).agg(F.sum(rest).cast("bigint").alias("units"))
+        found = waiting.groupBy(*BY_LOCATION).agg(F.sum(rest).alias("units"))
         known = materialize(found if known is None else known.unionByName(found), "known")
-        supply, pending = fold_materials(_materials(needs, stock, known), routes)
-
-    draws, left = _draw(first_step, supply, 0)
-    if split_no:
-        left = left.where(F.col("plant_no").isin(split_no))
-        own = left if not starts_own else left.unionByName(demand.where(F.col("plant_no").isin(starts_own)))
-        own_step = chunk_groups(own, by_location, DEMAND_ORDER, hot_locations)
-        own_draws, left = _draw(own_step, supply, 1)
-        last_step = chunk_groups(materialize(left, "left"), by_plant, DEMAND_ORDER, hot_plants)
-        last_draws, _ = _draw(last_step, supply, 2)
+        supply, pending = fold_materials(needs, phases, stock, known, routes)
+
+    def hot_in(keys: list[str]) -> HotKeys:
+        # a plant that is not oversized has no oversized location either
+        return HotKeys() if step.big is None else hot_keys(needs, keys, min_hot_rows)
+
+    draws, left = _draw(lines.where(~own_first), step, supply, 0)
+    if split:
+        whole = lines.where(own_first).select(*BY_LOCATION, "demand_id", "place", "units")
+        own = left.where(own_plants).unionByName(whole)
+        own_step = chunk_groups(own, BY_LOCATION, ["place"], hot_in(BY_LOCATION))
+        own_draws, left = _draw(own_step.intervals("units", "s", "e"), own_step, supply, 1)
+        last_step = chunk_groups(left, BY_PLANT, ["place"], hot_in(BY_PLANT))
+        last_draws, _ = _draw(last_step.intervals("units", "s", "e"), last_step, supply, 2)
         draws = draws.unionByName(own_draws).unionByName(last_draws)
 
-    hot_buckets = _hot_buckets(needs, stock, supply, min_hot_rows)
-    keys = ["matnr", "bucket"]
-    lot_lines = chunk_groups(held, keys, LOT_ORDER, hot_buckets).intervals("units", "start", "end")
-    lot_lines = lot_lines.select(*keys, F.col("uuid").alias("lot_id"), "start", "end")
-    pairs = overlap_pairs(lot_lines, draws, keys, hot_buckets)
+    most = n_lots + n_lines * max(len(sources) for sources in routes.sources.values())
+    if most <= (MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows):
+        hot = HotKeys()
+    else:
+        hot = _hot_buckets(needs, stock, supply, min_hot_rows)
+    pairs = overlap_pairs(lot_lines, draws, BY_BUCKET, hot)
     pairs = pairs.select("lot_id", "demand_id", from_milli(F.col("units")).alias("alc_qty"))
     return Allocation(pairs, unrouted)
 
 
-def _hot_buckets(needs, stock, supply, min_hot_rows) -> HotKeys | None:
+def _hot_buckets(needs, stock, supply, min_hot_rows) -> HotKeys:
     """Buckets with many lots and draws; a phase draws at most once per line and bucket."""
-    lines = needs.groupBy("matnr", "plant_no").agg(F.sum("n").alias("n"))
     drawn = (
-        supply.select("matnr", "plant_no", F.explode("buckets.bucket").alias("bucket"))
-        .join(lines, ["matnr", "plant_no"])
-        .select("matnr", "bucket", "n")
+        supply.select(*BY_PLANT, F.explode("buckets.bucket").alias("bucket"))
+        .join(needs.groupBy(*BY_PLANT).agg(F.sum("n").alias("n")), BY_PLANT)
+        .select(*BY_BUCKET, "n")
     )
-    return hot_keys(stock.select("matnr", "bucket", "n").unionByName(drawn), ["matnr", "bucket"], min_hot_rows)
+    return hot_keys(stock.select(*BY_BUCKET, "n").unionByName(drawn), BY_BUCKET, min_hot_rows)
 
 
 # ---- results ---------------------------------------------------------------------------------------

@@ -7,6 +7,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lotflow.session import local_table
+
 # Demand plant and its sources in order, as plant or plant.location
 ROUTES = {
     "101A": "101A 701A 381A 481A 111A 921A 482A",
@@ -88,13 +90,13 @@ class Routes:
             for i, source in enumerate(sources)
         ]
         schema = "demand_plant string, priority int, source string, supply_plant string, supply_location string"
-        return spark.createDataFrame(rows, schema)
+        return local_table(spark, rows, schema)
 
     def special_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(sorted(self.special), "werks string, lgort string")
+        return local_table(spark, sorted(self.special), "werks string, lgort string")
 
     def plants_df(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self.plant_no.items()), "werks string, plant_no int")
+        return local_table(spark, list(self.plant_no.items()), "werks string, plant_no int")
 
     def own_df(self, spark: SparkSession) -> DataFrame:
         """Locations that override a source, per demand plant."""
@@ -104,11 +106,11 @@ class Routes:
             for loc in phase.own
             if loc != ANY
         ]
-        return spark.createDataFrame(rows, "werks string, lgort string, location_no int")
+        return local_table(spark, rows, "werks string, lgort string, location_no int")
 
     def buckets_df(self, spark: SparkSession) -> DataFrame:
         rows = [(plant, loc, i) for (plant, loc), i in self.bucket_no.items()]
-        return spark.createDataFrame(rows, "werks string, sto_lgort string, bucket int")
+        return local_table(spark, rows, "werks string, sto_lgort string, bucket int")
 
 
 def sourcing_routes(spark: SparkSession, routes: dict[str, str] | None = None) -> DataFrame:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lotflow.session import materialize, shuffle_partitions
+from lotflow.session import local_table, materialize, shuffle_partitions
 
 CHUNK = "_chunk"
 MIN_HOT_ROWS = 1_000_000
@@ -20,23 +20,19 @@ MIN_HOT_ROWS = 1_000_000
 
 @dataclass
 class HotKeys:
-    """Keys with more than ``limit`` rows.
+    """Keys with more than ``limit`` rows; ``table`` is None when there are none.
 
     ``limit`` is at least rows / (4 * shuffle partitions), so there are at most
     4 * shuffle partitions such keys and the table is safe to broadcast.
     """
 
-    table: DataFrame
-    keys: list[str]
-    rows: int
-    limit: int
-
-    def project(self, keys: list[str]) -> "HotKeys":
-        renamed = self.table.select(*[F.col(a).alias(b) for a, b in zip(self.keys, keys)])
-        return HotKeys(renamed, keys, self.rows, self.limit)
+    total: int = 0
+    table: DataFrame | None = None
+    rows: int = 0
+    limit: int = 0
 
 
-def hot_keys(counts: DataFrame, keys: list[str], min_rows: int | None = None) -> HotKeys | None:
+def hot_keys(counts: DataFrame, keys: list[str], min_rows: int | None = None) -> HotKeys:
     """Find oversized keys in ``counts``, a table of ``keys`` and a row count ``n``.
 
     ``counts`` may repeat a key; its counts are added up.
@@ -46,15 +42,16 @@ def hot_keys(counts: DataFrame, keys: list[str], min_rows: int | None = None) ->
     per_key = counts.groupBy(*keys).agg(F.sum("n").alias("n"))
     total, largest = per_key.agg(F.sum("n"), F.max("n")).first()
     if not total:
-        return None
+        return HotKeys()
     limit = max(min_rows, total // (4 * shuffle_partitions(spark)))
     if largest <= limit:
-        return None
+        return HotKeys(total)
     found = per_key.where(F.col("n") > limit).dropna(subset=keys).collect()
     if not found:
-        return None
-    table = spark.createDataFrame(found, per_key.schema)
-    return HotKeys(table.select(*keys), keys, sum(r["n"] for r in found), limit)
+        return HotKeys(total)
+    ddl = per_key.select(*keys).schema.simpleString()[len("struct<") : -1]
+    table = local_table(spark, [tuple(r[k] for k in keys) for r in found], ddl)
+    return HotKeys(total, table, sum(r["n"] for r in found), limit)
 
 
 def count_by(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -135,14 +132,14 @@ class Chunked:
         )
 
 
-def chunk_groups(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys | None) -> Chunked:
+def chunk_groups(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys) -> Chunked:
     """Cut the hot keys of ``df`` into chunks; leave the others whole.
 
     Without hot keys this adds a constant and nothing else. With them, only
     their rows pass the extra range shuffle, which is written out so that chunk
     numbers are the same wherever they are used.
     """
-    if hot is None:
+    if hot.table is None:
         return Chunked(df.withColumn(CHUNK, F.lit(0)), keys, order)
     listed = F.broadcast(hot.table)
     df = materialize(df, "groups")
@@ -161,7 +158,7 @@ def overlap_pairs(
     supply: DataFrame,
     draws: DataFrame,
     keys: list[str],
-    hot: HotKeys | None,
+    hot: HotKeys,
 ) -> DataFrame:
     """Match two sets of disjoint intervals on one line per key.
 

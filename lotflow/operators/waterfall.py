@@ -43,14 +43,30 @@ def _plain_phases(routes: Routes) -> dict[int, tuple[list[int], dict[int, int],
     }
 
 
-def _table(lists, shape: tuple[int, ...], *names: str) -> np.ndarray:
-    """Scatter lists of (index..., units) into a dense array with one row per material."""
-    out = np.zeros(shape, dtype=np.int64)
-    items = pc.list_flatten(lists)
-    at = [pc.list_parent_indices(lists).to_numpy()]
-    at += [items.field(n).to_numpy(zero_copy_only=False) for n in names]
-    np.add.at(out, tuple(at), items.field("units").to_numpy(zero_copy_only=False))
-    return out
+NEED, TURN, STOCK, KNOWN = range(4)
+
+
+def _facts(needs: DataFrame, phases: DataFrame, stock: DataFrame, known: DataFrame | None) -> DataFrame:
+    """One row per material with everything known about it in one list.
+
+    The list holds at most one entry per (plant, own location) and per bucket.
+    """
+
+    def fact(df: DataFrame, kind: int, a: str, b: str | None, units: str) -> DataFrame:
+        second = F.col(b) if b else F.lit(0)
+        return df.select(
+            "matnr",
+            F.struct(
+                F.lit(kind).alias("kind"), F.col(a).alias("a"), second.alias("b"), F.col(units).cast("bigint").alias("units")
+            ).alias("fact"),
+        )
+
+    facts = fact(needs, NEED, "plant_no", "location_no", "units")
+    facts = facts.unionByName(fact(phases, TURN, "plant_no", None, "turn"))
+    facts = facts.unionByName(fact(stock, STOCK, "bucket", None, "units"))
+    if known is not None:
+        facts = facts.unionByName(fact(known, KNOWN, "plant_no", "location_no", "units"))
+    return facts.groupBy("matnr").agg(F.collect_list("fact").alias("facts"))
 
 
 class _Supply:
@@ -92,15 +108,23 @@ class _Supply:
 
 def _fold(batch: pa.RecordBatch, phases, n_locations: int, n_buckets: int) -> pa.RecordBatch | None:
     m, n_plants = batch.num_rows, len(phases)
-    need = _table(batch["needs"], (m, n_plants, n_locations), "plant_no", "location_no")
-    known = _table(batch["known"], (m, n_plants, n_locations), "plant_no", "location_no")
+    items = pc.list_flatten(batch["facts"])
+    owner = pc.list_parent_indices(batch["facts"]).to_numpy()
+    kind, a, b, units = (items.field(n).to_numpy(zero_copy_only=False) for n in ("kind", "a", "b", "units"))
+
+    def table(of: int, *shape: int) -> np.ndarray:
+        out = np.zeros((m, *shape), dtype=np.int64)
+        pick = kind == of
+        at = (owner[pick], a[pick], b[pick])[: 1 + len(shape)]
+        out[at] = units[pick]
+        return out
+
+    need = table(NEED, n_plants, n_locations)
+    known = table(KNOWN, n_plants, n_locations)
     resolved = known.sum(axis=2) > 0
-    held = _table(batch["stock"], (m, n_buckets), "bucket")
+    held = table(STOCK, n_buckets)
     used = np.zeros_like(held)
-    order = np.full((m, n_plants), -1)
-    owner = pc.list_parent_indices(batch["phases"]).to_numpy()
-    place = np.arange(len(owner)) - np.searchsorted(owner, owner)
-    order[owner, place] = pc.list_flatten(batch["phases"]).to_numpy()
+    turn_of = table(TURN, n_plants)
     alive = np.ones(m, dtype=bool)
     out = _Supply()
 
@@ -118,11 +142,11 @@ def _fold(batch: pa.RecordBatch, phases, n_locations: int, n_buckets: int) -> pa
         used[at] += taken
         return total
 
-    for turn in range(n_plants):
-        for plant in np.unique(order[:, turn]):
-            if plant < 0:
+    for turn in range(1, n_plants + 1):
+        for plant in range(n_plants):
+            rows = np.flatnonzero((turn_of[:, plant] == turn) & alive)
+            if not len(rows):
                 continue
-            rows = np.flatnonzero((order[:, turn] == plant) & alive)
             before, own, after = phases[plant]
             left = need[rows, plant]
             if before:
@@ -146,24 +170,25 @@ def _fold(batch: pa.RecordBatch, phases, n_locations: int, n_buckets: int) -> pa
     return out.batch(batch["matnr"])
 
 
-def fold_materials(materials: DataFrame, routes: Routes) -> tuple[DataFrame, DataFrame | None]:
+def fold_materials(
+    needs: DataFrame, phases: DataFrame, stock: DataFrame, known: DataFrame | None, routes: Routes
+) -> tuple[DataFrame, DataFrame | None]:
     """Follow the phases of every material.
 
     Returns what each slot of each phase finds (per bucket: used up so far and
     remaining), and the phases that cannot be entered before it is known how the
     shared sources of their first slot were spread over the own locations.
     """
-    phases = _plain_phases(routes)
+    plain = _plain_phases(routes)
     n_locations, n_buckets = len(routes.locations), len(routes.buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            result = _fold(batch, phases, n_locations, n_buckets) if batch.num_rows else None
+            result = _fold(batch, plain, n_locations, n_buckets) if batch.num_rows else None
             if result is not None:
                 yield result
 
-    columns = materials.select("matnr", "needs", "phases", "stock", "known")
-    rows = materialize(columns.mapInArrow(run, SUPPLY_SCHEMA), "supply")
+    rows = materialize(_facts(needs, phases, stock, known).mapInArrow(run, SUPPLY_SCHEMA), "supply")
     supply = rows.where(F.col("slot") >= 0)
     if not any(phase.before and phase.own for phase in routes.phases.values()):
         return supply, None

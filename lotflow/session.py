@@ -5,7 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 # One shuffle of a wide table then serves joins on several keys that share a
 # prefix; AQE splits skewed join partitions and coalesces small ones.
@@ -64,5 +67,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def local_table(spark: SparkSession, rows: list[tuple], ddl: str) -> DataFrame:
+    """A few fixed rows as a plan-time constant, without a job to ship them."""
+    schema = StructType.fromDDL(ddl)
+    columns = list(zip(*rows)) or [[] for _ in schema]
+    arrow = to_arrow_schema(schema)
+    arrays = [pa.array(list(c), f.type) for c, f in zip(columns, arrow)]
+    return spark.createDataFrame(pa.table(arrays, schema=arrow), schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
