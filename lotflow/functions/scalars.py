@@ -25,8 +25,13 @@ def present(code: Column) -> Column:
 
 
 def stock_amount(qty: Column, value: Column, valuated_qty: Column, rate: Column) -> Column:
-    """``qty`` at the lot's average price in company currency, 0 without a valuated quantity."""
-    amount = F.round(F.try_divide(qty * value, valuated_qty) * rate, 2)
+    """``qty`` at the lot's average price in company currency, 0 without a valuated quantity.
+
+    The casts keep twelve decimals up to the one rounding at the end; without
+    them decimal arithmetic would cut the scale on the way.
+    """
+    per_lot = F.try_divide((qty * value).cast("decimal(27,5)"), valuated_qty).cast("decimal(28,12)")
+    amount = F.round(per_lot * rate, 2)
     return F.when(valuated_qty == 0, F.lit(0)).otherwise(amount).cast("decimal(15,2)")
 
 

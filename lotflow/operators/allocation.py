@@ -135,24 +135,23 @@ BY_LOCATION = ["matnr", "plant_no", "location_no"]
 BY_BUCKET = ["matnr", "bucket"]
 
 
-def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None) -> tuple[Chunked, DataFrame, int]:
-    """Demand laid end to end per (material, plant) as ``[s, e)``, and the lines without a route.
+def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None) -> tuple[Chunked, int]:
+    """Routed demand laid end to end per (material, plant) as ``[s, e)``, and its row count.
 
     From here on ``s`` stands for a line's place in its phase, so the wide
     business key is sorted and shuffled once. ``first`` is that key, kept on the
     first line of each phase only.
     """
     spark = demand.sparkSession
-    located = demand.join(F.broadcast(routes.plants_df(spark)), "werks", "left").join(
+    located = demand.join(F.broadcast(routes.plants_df(spark)), "werks").join(
         F.broadcast(routes.own_df(spark)), ["werks", "lgort"], "left"
     )
-    routed = located.where(F.col("plant_no").isNotNull() & (F.col("bal_qty") > 0)).select(
+    routed = located.where(F.col("bal_qty") > 0).select(
         *DEMAND_ORDER,
         *BY_PLANT,
         F.coalesce("location_no", F.lit(0)).alias("location_no"),
         milli(F.col("bal_qty")).alias("units"),
     )
-    unrouted = located.where(F.col("plant_no").isNull()).select(F.col("uuid").alias("demand_id"))
     hot = hot_keys(count_by(routed, BY_PLANT), BY_PLANT, min_hot_rows)
     step = chunk_groups(routed, BY_PLANT, DEMAND_ORDER, hot)
     lines = step.intervals("units", "s", "e").select(
@@ -164,7 +163,7 @@ def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None)
         "e",
         F.when(F.col("s") == 0, F.struct(*DEMAND_ORDER)).alias("first"),
     )
-    return replace(step, df=materialize(lines, "demand")), unrouted, hot.total
+    return replace(step, df=materialize(lines, "demand")), hot.total
 
 
 def _placed_lots(lots: DataFrame, routes: Routes, min_hot_rows: int | None) -> tuple[DataFrame, int]:
@@ -224,7 +223,7 @@ def waterfall_allocate(
     buckets in route order and from the lots of a bucket in ``LOT_ORDER``.
     """
     routes = routes or Routes()
-    step, unrouted, n_lines = _placed_demand(demand, routes, min_hot_rows)
+    step, n_lines = _placed_demand(demand, routes, min_hot_rows)
     lines = step.df.drop("first").withColumn("place", F.col("s"))
     lot_lines, n_lots = _placed_lots(lots, routes, min_hot_rows)
 
@@ -267,7 +266,7 @@ def waterfall_allocate(
         hot = _hot_buckets(needs, stock, supply, min_hot_rows)
     pairs = overlap_pairs(lot_lines, draws, BY_BUCKET, hot)
     pairs = pairs.select("lot_id", "demand_id", from_milli(F.col("units")).alias("alc_qty"))
-    return Allocation(pairs, unrouted)
+    return Allocation(pairs, unrouted_demand(demand, routes))
 
 
 def _hot_buckets(needs, stock, supply, min_hot_rows) -> HotKeys:
@@ -280,6 +279,12 @@ def _hot_buckets(needs, stock, supply, min_hot_rows) -> HotKeys:
     return hot_keys(stock.select(*BY_BUCKET, "n").unionByName(drawn), BY_BUCKET, min_hot_rows)
 
 
+def unrouted_demand(demand: DataFrame, routes: Routes | None = None) -> DataFrame:
+    """Demand lines of plants without a route, which stay open."""
+    plants = (routes or Routes()).plants_df(demand.sparkSession)
+    return demand.join(F.broadcast(plants), "werks", "left_anti").withColumn("reason", F.lit("no_route"))
+
+
 # ---- results ---------------------------------------------------------------------------------------
 
 

@@ -22,9 +22,19 @@ TRACE_COLUMNS = [
 ]
 
 
+def slices_of(rows: DataFrame, channel: str | None = None, period: str | None = None) -> DataFrame:
+    """The (period, channel) slices present in ``rows``, all or those of one channel or period."""
+    wanted = F.lit(True)
+    if period is not None:
+        wanted = wanted & (F.col("perio") == period)
+    if channel is not None:
+        wanted = wanted & (F.col("vtweg") == channel)
+    return rows.where(wanted).select(*SLICE).distinct()
+
+
 def released_slices(ke30x: DataFrame) -> DataFrame:
     """(Period, channel) slices with a release date; an unknown date does not count."""
-    return ke30x.where(F.col("rldat") != BLANK).select(*SLICE).distinct()
+    return slices_of(ke30x.where(F.col("rldat") != BLANK))
 
 
 def period_released(ke30x: DataFrame, channel: str, period: str) -> bool:
@@ -75,7 +85,7 @@ def billing_trace(
 
 def replace_period(ke30x: DataFrame, trace: DataFrame) -> DataFrame:
     """The stored table after each slice of ``trace`` took the place of the stored one."""
-    kept = ke30x.join(trace.select(*SLICE).distinct(), SLICE, "left_anti")
+    kept = ke30x.join(slices_of(trace), SLICE, "left_anti")
     return kept.unionByName(trace, allowMissingColumns=True)
 
 
