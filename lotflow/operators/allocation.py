@@ -21,7 +21,7 @@ from lotflow.operators.scan import (
     milli,
     overlap_pairs,
 )
-from lotflow.operators.waterfall import fold_materials
+from lotflow.operators.waterfall import KNOWN, NEED, STOCK, TURN, fact, fold_materials
 from lotflow.session import materialize
 
 # Fixed values
@@ -227,23 +227,27 @@ def waterfall_allocate(
     lines = step.df.drop("first").withColumn("place", F.col("s"))
     lot_lines, n_lots = _placed_lots(lots, routes, min_hot_rows)
 
-    needs = materialize(_needs(lines), "needs")
-    phases = materialize(_phases(step.df), "phases")
+    # totals per (plant, own location), turns and bucket contents: one small table
     stock = lot_lines.groupBy(*BY_BUCKET).agg(F.max("end").alias("units"), F.count(F.lit(1)).alias("n"))
-    stock = materialize(stock, "stock")
-    supply, pending = fold_materials(needs, phases, stock, None, routes)
+    facts = (
+        fact(_needs(lines), NEED, "plant_no", "location_no", n="n")
+        .unionByName(fact(_phases(step.df), TURN, "plant_no", units="turn"))
+        .unionByName(fact(stock, STOCK, "bucket", n="n"))
+    )
+    facts = materialize(facts, "facts")
+    supply, pending = fold_materials(facts, routes)
     split = [p for p, phase in routes.phases.items() if phase.own]
     own_plants = F.col("plant_no").isin([routes.plant_no[p] for p in split])
     own_first = F.col("plant_no").isin([routes.plant_no[p] for p in split if not routes.phases[p].before])
-    known = None
     while pending is not None and not pending.isEmpty():
         # a plant with shared sources before its own ones: find what each own
         # location still needs after them, then follow the phases further
         waiting = lines.where(own_plants).join(step.spread(pending), step.parts)
         rest = F.greatest(F.col("e") - F.greatest(F.col("s"), F.col("total")), F.lit(0))
         found = waiting.groupBy(*BY_LOCATION).agg(F.sum(rest).alias("units"))
-        known = materialize(found if known is None else known.unionByName(found), "known")
-        supply, pending = fold_materials(needs, phases, stock, known, routes)
+        facts = facts.unionByName(materialize(fact(found, KNOWN, "plant_no", "location_no"), "known"))
+        supply, pending = fold_materials(facts, routes)
+    needs = facts.where(F.col("kind") == NEED).select("matnr", F.col("a").alias("plant_no"), F.col("b").alias("location_no"), "n")
 
     def hot_in(keys: list[str]) -> HotKeys:
         # a plant that is not oversized has no oversized location either
@@ -263,20 +267,21 @@ def waterfall_allocate(
     if most <= (MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows):
         hot = HotKeys()
     else:
-        hot = _hot_buckets(needs, stock, supply, min_hot_rows)
+        hot = _hot_buckets(needs, facts, supply, min_hot_rows)
     pairs = overlap_pairs(lot_lines, draws, BY_BUCKET, hot)
     pairs = pairs.select("lot_id", "demand_id", from_milli(F.col("units")).alias("alc_qty"))
     return Allocation(pairs, unrouted_demand(demand, routes))
 
 
-def _hot_buckets(needs, stock, supply, min_hot_rows) -> HotKeys:
+def _hot_buckets(needs, facts, supply, min_hot_rows) -> HotKeys:
     """Buckets with many lots and draws; a phase draws at most once per line and bucket."""
+    held = facts.where(F.col("kind") == STOCK).select("matnr", F.col("a").alias("bucket"), "n")
     drawn = (
         supply.select(*BY_PLANT, F.explode("buckets.bucket").alias("bucket"))
         .join(needs.groupBy(*BY_PLANT).agg(F.sum("n").alias("n")), BY_PLANT)
         .select(*BY_BUCKET, "n")
     )
-    return hot_keys(stock.select(*BY_BUCKET, "n").unionByName(drawn), BY_BUCKET, min_hot_rows)
+    return hot_keys(held.unionByName(drawn), BY_BUCKET, min_hot_rows)
 
 
 def unrouted_demand(demand: DataFrame, routes: Routes | None = None) -> DataFrame:

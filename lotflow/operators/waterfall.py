@@ -46,27 +46,16 @@ def _plain_phases(routes: Routes) -> dict[int, tuple[list[int], dict[int, int],
 NEED, TURN, STOCK, KNOWN = range(4)
 
 
-def _facts(needs: DataFrame, phases: DataFrame, stock: DataFrame, known: DataFrame | None) -> DataFrame:
-    """One row per material with everything known about it in one list.
-
-    The list holds at most one entry per (plant, own location) and per bucket.
-    """
-
-    def fact(df: DataFrame, kind: int, a: str, b: str | None, units: str) -> DataFrame:
-        second = F.col(b) if b else F.lit(0)
-        return df.select(
-            "matnr",
-            F.struct(
-                F.lit(kind).alias("kind"), F.col(a).alias("a"), second.alias("b"), F.col(units).cast("bigint").alias("units")
-            ).alias("fact"),
-        )
-
-    facts = fact(needs, NEED, "plant_no", "location_no", "units")
-    facts = facts.unionByName(fact(phases, TURN, "plant_no", None, "turn"))
-    facts = facts.unionByName(fact(stock, STOCK, "bucket", None, "units"))
-    if known is not None:
-        facts = facts.unionByName(fact(known, KNOWN, "plant_no", "location_no", "units"))
-    return facts.groupBy("matnr").agg(F.collect_list("fact").alias("facts"))
+def fact(df: DataFrame, kind: int, a: str, b: str | None = None, units: str = "units", n: str | None = None) -> DataFrame:
+    """Rows of one kind in the common shape; ``n`` counts the lines or lots behind a row."""
+    return df.select(
+        "matnr",
+        F.lit(kind).alias("kind"),
+        F.col(a).alias("a"),
+        (F.col(b) if b else F.lit(0)).alias("b"),
+        F.col(units).cast("bigint").alias("units"),
+        (F.col(n) if n else F.lit(0)).cast("bigint").alias("n"),
+    )
 
 
 class _Supply:
@@ -170,25 +159,27 @@ def _fold(batch: pa.RecordBatch, phases, n_locations: int, n_buckets: int) -> pa
     return out.batch(batch["matnr"])
 
 
-def fold_materials(
-    needs: DataFrame, phases: DataFrame, stock: DataFrame, known: DataFrame | None, routes: Routes
-) -> tuple[DataFrame, DataFrame | None]:
+def fold_materials(facts: DataFrame, routes: Routes) -> tuple[DataFrame, DataFrame | None]:
     """Follow the phases of every material.
 
+    ``facts`` has one row per (plant, own location) need, per plant's turn and per
+    bucket of a material, so the list made of them here is bounded by the routes.
+
     Returns what each slot of each phase finds (per bucket: used up so far and
     remaining), and the phases that cannot be entered before it is known how the
     shared sources of their first slot were spread over the own locations.
     """
-    plain = _plain_phases(routes)
+    phases = _plain_phases(routes)
     n_locations, n_buckets = len(routes.locations), len(routes.buckets)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            result = _fold(batch, plain, n_locations, n_buckets) if batch.num_rows else None
+            result = _fold(batch, phases, n_locations, n_buckets) if batch.num_rows else None
             if result is not None:
                 yield result
 
-    rows = materialize(_facts(needs, phases, stock, known).mapInArrow(run, SUPPLY_SCHEMA), "supply")
+    materials = facts.groupBy("matnr").agg(F.collect_list(F.struct("kind", "a", "b", "units")).alias("facts"))
+    rows = materialize(materials.mapInArrow(run, SUPPLY_SCHEMA), "supply")
     supply = rows.where(F.col("slot") >= 0)
     if not any(phase.before and phase.own for phase in routes.phases.values()):
         return supply, None
