@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.bindings.tables import view
+from lotflow.bindings.tables import EXTRACTED, view
 from lotflow.functions import scalars as S
 from lotflow.operators import allocation, explosion, monthend, orders, receipts, report
 from lotflow.operators.routes import Routes, candidate_sources
@@ -32,14 +32,31 @@ def query(run: Callable[["Tables"], DataFrame]) -> Query:
     return call
 
 
+# ERP extracts of a driver folder, written once per application
+_EXTRACTS: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
-    """ERP views of one driver folder; work tables that several steps need are written once."""
+    """The ERP tables of one driver folder.
+
+    Tables made from lineitem and orders are extracted to parquet once and shared
+    by all queries, as an ERP extract would be; so are the index of first receipts
+    and the order postings that depend on it.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._made = spark, sf_dir, {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        return view(self.spark, self.sf_dir, name)
+        if name not in EXTRACTED:
+            return view(self.spark, self.sf_dir, name)
+        return self._extract(name, lambda: view(self.spark, self.sf_dir, name))
+
+    def _extract(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _EXTRACTS:
+            _EXTRACTS[key] = materialize(make().repartition(self.spark.sparkContext.defaultParallelism), name)
+        return _EXTRACTS[key]
 
     def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         if name not in self._made:
@@ -48,11 +65,11 @@ class Tables:
 
     @property
     def mch1x(self) -> DataFrame:
-        return self._once("mch1x", lambda: receipts.first_receipt(self["mseg"], self["mkpf"]))
+        return self._extract("mch1x", lambda: receipts.first_receipt(self["mseg"], self["mkpf"]))
 
     @property
     def aufm(self) -> DataFrame:
-        return self._once("aufm", lambda: view(self.spark, self.sf_dir, "aufm", mch1x=self.mch1x))
+        return self._extract("aufm", lambda: view(self.spark, self.sf_dir, "aufm", mch1x=self.mch1x))
 
     @property
     def lots(self) -> DataFrame:

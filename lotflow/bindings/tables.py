@@ -221,6 +221,12 @@ VIEWS: dict[str, str] = {
          group by matnr, charg""",
 }
 
+# views with about as many rows as lineitem or orders
+EXTRACTED = (
+    "mkpf", "mseg", "mchbx", "zsd0012", "knvp", "knmt", "marc", "stk_idle", "ce13058", "vbrp", "ke30x_prior", "aufk",
+    "jest", "aufkx", "afpo", "ziebp023",
+)
+
 # A posting is an order's output when it is the first receipt of its batch, otherwise it is a consumption.
 # The rule that receipts are never returns keeps every producer earlier than its consumers.
 AUFM = f"""

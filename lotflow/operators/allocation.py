@@ -11,7 +11,6 @@ from lotflow.functions.ids import assign_row_id
 from lotflow.operators.routes import ANY, Routes
 from lotflow.operators.scan import (
     CHUNK,
-    MIN_HOT_ROWS,
     Chunked,
     HotKeys,
     chunk_groups,
@@ -135,8 +134,8 @@ BY_LOCATION = ["matnr", "plant_no", "location_no"]
 BY_BUCKET = ["matnr", "bucket"]
 
 
-def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None) -> tuple[Chunked, int]:
-    """Routed demand laid end to end per (material, plant) as ``[s, e)``, and its row count.
+def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None) -> Chunked:
+    """Routed demand laid end to end per (material, plant) as ``[s, e)``.
 
     From here on ``s`` stands for a line's place in its phase, so the wide
     business key is sorted and shuffled once. ``first`` is that key, kept on the
@@ -163,10 +162,10 @@ def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None)
         "e",
         F.when(F.col("s") == 0, F.struct(*DEMAND_ORDER)).alias("first"),
     )
-    return replace(step, df=materialize(lines, "demand")), hot.total
+    return replace(step, df=materialize(lines, "demand"))
 
 
-def _placed_lots(lots: DataFrame, routes: Routes, min_hot_rows: int | None) -> tuple[DataFrame, int]:
+def _placed_lots(lots: DataFrame, routes: Routes, min_hot_rows: int | None) -> DataFrame:
     """Lots of the buckets in use, laid end to end per (material, bucket)."""
     held = (
         stock_bucket(lots.where(F.col("bal_qty") > 0), routes)
@@ -175,7 +174,7 @@ def _placed_lots(lots: DataFrame, routes: Routes, min_hot_rows: int | None) -> t
     )
     hot = hot_keys(count_by(held, BY_BUCKET), BY_BUCKET, min_hot_rows)
     placed = chunk_groups(held, BY_BUCKET, LOT_ORDER, hot).intervals("units", "start", "end")
-    return materialize(placed.select(*BY_BUCKET, F.col("uuid").alias("lot_id"), "start", "end"), "lots"), hot.total
+    return materialize(placed.select(*BY_BUCKET, F.col("uuid").alias("lot_id"), "start", "end"), "lots")
 
 
 def _needs(lines: DataFrame) -> DataFrame:
@@ -223,9 +222,9 @@ def waterfall_allocate(
     buckets in route order and from the lots of a bucket in ``LOT_ORDER``.
     """
     routes = routes or Routes()
-    step, n_lines = _placed_demand(demand, routes, min_hot_rows)
+    step = _placed_demand(demand, routes, min_hot_rows)
     lines = step.df.drop("first").withColumn("place", F.col("s"))
-    lot_lines, n_lots = _placed_lots(lots, routes, min_hot_rows)
+    lot_lines = _placed_lots(lots, routes, min_hot_rows)
 
     # totals per (plant, own location), turns and bucket contents: one small table
     stock = lot_lines.groupBy(*BY_BUCKET).agg(F.max("end").alias("units"), F.count(F.lit(1)).alias("n"))
@@ -263,18 +262,19 @@ def waterfall_allocate(
         last_draws, _ = _draw(last_step.intervals("units", "s", "e"), last_step, supply, 2)
         draws = draws.unionByName(own_draws).unionByName(last_draws)
 
-    most = n_lots + n_lines * max(len(sources) for sources in routes.sources.values())
-    if most <= (MIN_HOT_ROWS if min_hot_rows is None else min_hot_rows):
-        hot = HotKeys()
-    else:
-        hot = _hot_buckets(needs, facts, supply, min_hot_rows)
+    hot = _hot_buckets(needs, facts, supply, routes, min_hot_rows)
     pairs = overlap_pairs(lot_lines, draws, BY_BUCKET, hot)
     pairs = pairs.select("lot_id", "demand_id", from_milli(F.col("units")).alias("alc_qty"))
     return Allocation(pairs, unrouted_demand(demand, routes))
 
 
-def _hot_buckets(needs, facts, supply, min_hot_rows) -> HotKeys:
+def _hot_buckets(needs, facts, supply, routes, min_hot_rows) -> HotKeys:
     """Buckets with many lots and draws; a phase draws at most once per line and bucket."""
+    longest = max(len(sources) for sources in routes.sources.values())
+    most = F.when(F.col("kind") == NEED, F.col("n") * longest).otherwise(F.col("n"))
+    rough = hot_keys(facts.select("matnr", most.alias("n")), ["matnr"], min_hot_rows)
+    if rough.table is None:
+        return rough
     held = facts.where(F.col("kind") == STOCK).select("matnr", F.col("a").alias("bucket"), "n")
     drawn = (
         supply.select(*BY_PLANT, F.explode("buckets.bucket").alias("bucket"))

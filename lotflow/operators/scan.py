@@ -26,7 +26,6 @@ class HotKeys:
     4 * shuffle partitions such keys and the table is safe to broadcast.
     """
 
-    total: int = 0
     table: DataFrame | None = None
     rows: int = 0
     limit: int = 0
@@ -45,13 +44,13 @@ def hot_keys(counts: DataFrame, keys: list[str], min_rows: int | None = None) ->
         return HotKeys()
     limit = max(min_rows, total // (4 * shuffle_partitions(spark)))
     if largest <= limit:
-        return HotKeys(total)
+        return HotKeys()
     found = per_key.where(F.col("n") > limit).dropna(subset=keys).collect()
     if not found:
-        return HotKeys(total)
+        return HotKeys()
     ddl = per_key.select(*keys).schema.simpleString()[len("struct<") : -1]
     table = local_table(spark, [tuple(r[k] for k in keys) for r in found], ddl)
-    return HotKeys(total, table, sum(r["n"] for r in found), limit)
+    return HotKeys(table, sum(r["n"] for r in found), limit)
 
 
 def count_by(df: DataFrame, keys: list[str]) -> DataFrame:
