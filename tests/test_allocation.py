@@ -1,6 +1,7 @@
 """Allocation against a plain loop over lots and demand, and case by case."""
 
 import random
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
@@ -235,8 +236,6 @@ def test_row_ids_are_stable_and_fill_blanks_only(spark):
 
 
 def test_job_stores_three_tables_per_day(spark, table, rows, tmp_path):
-    from datetime import datetime
-
     erp = {
         "mchbx": table("mchbx", dict(matnr="M", werks="112A", uuid="L1", bal_qty=5)),
         "mseg": table("mseg"),
@@ -247,5 +246,5 @@ def test_job_stores_three_tables_per_day(spark, table, rows, tmp_path):
     assert rows(lots, "uuid", "bal_qty", "alc_qty") == [("L1", 3, 2)]
     assert rows(demand, "bal_qty", "alc_qty") == [(0, 2)]
     assert rows(pairs, "stk_mchb_id", "alc_qty") == [("L1", 2)]
-    again = run_allocation(spark, str(tmp_path), erp, day)
-    assert [rows(x) for x in again] == [rows(x) for x in (lots, demand, pairs)]
+    first = [rows(x) for x in (lots, demand, pairs)]
+    assert [rows(x) for x in run_allocation(spark, str(tmp_path), erp, day)] == first
