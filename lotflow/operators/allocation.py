@@ -112,7 +112,7 @@ def fifo_allocate(
     def line(rows: DataFrame, order: list[str], name: str) -> DataFrame:
         columns = list(dict.fromkeys([*key, *order, "uuid"]))
         rows = rows.select(*columns, milli(F.col("bal_qty")).alias("_units"))
-        rows = chunk_groups(rows, key, order, hot).intervals("_units", "start", "end")
+        rows = chunk_groups(rows, key, order, hot, reread=True).intervals("_units", "start", "end")
         return rows.select(*key, F.col("uuid").alias(name), "start", "end")
 
     pairs = overlap_pairs(line(lots, lot_order, "lot_id"), line(demand, demand_order, "demand_id"), key, hot)
@@ -152,7 +152,7 @@ def _placed_demand(demand: DataFrame, routes: Routes, min_hot_rows: int | None)
         milli(F.col("bal_qty")).alias("units"),
     )
     hot = hot_keys(count_by(routed, BY_PLANT), BY_PLANT, min_hot_rows)
-    step = chunk_groups(routed, BY_PLANT, DEMAND_ORDER, hot)
+    step = chunk_groups(routed, BY_PLANT, DEMAND_ORDER, hot, reread=True)
     lines = step.intervals("units", "s", "e").select(
         *BY_LOCATION,
         CHUNK,
@@ -173,7 +173,7 @@ def _placed_lots(lots: DataFrame, routes: Routes, min_hot_rows: int | None) -> D
         .select(*BY_BUCKET, *LOT_ORDER, milli(F.col("bal_qty")).alias("units"))
     )
     hot = hot_keys(count_by(held, BY_BUCKET), BY_BUCKET, min_hot_rows)
-    placed = chunk_groups(held, BY_BUCKET, LOT_ORDER, hot).intervals("units", "start", "end")
+    placed = chunk_groups(held, BY_BUCKET, LOT_ORDER, hot, reread=True).intervals("units", "start", "end")
     return materialize(placed.select(*BY_BUCKET, F.col("uuid").alias("lot_id"), "start", "end"), "lots")
 
 

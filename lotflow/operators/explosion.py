@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotflow.functions.ids import row_id
 from lotflow.functions.scalars import BLANK, signed, wip_factor
+from lotflow.operators.scan import scattered
 from lotflow.session import materialize
 
 # Fixed values
@@ -75,7 +76,10 @@ def split_consumption(aufm: DataFrame, first_receipt: DataFrame, makers: DataFra
     return (
         rows.join(made, ["matnr", "charg"], "left")
         .withColumn("waufnr", F.coalesce("waufnr", F.lit(BLANK)))
-        .join(makers, "waufnr", "left")
+        # purchased batches and the marker have no maker and are most of the rows
+        .withColumn("_maker", scattered(producer, ~producer.isin(BLANK, MARKER), *POSTING))
+        .join(makers.withColumnRenamed("waufnr", "_maker"), "_maker", "left")
+        .drop("_maker")
         .withColumn("is_wip", in_house | (producer == MARKER))
     )
 

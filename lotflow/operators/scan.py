@@ -131,17 +131,21 @@ class Chunked:
         )
 
 
-def chunk_groups(df: DataFrame, keys: list[str], order: list[str], hot: HotKeys) -> Chunked:
+def chunk_groups(
+    df: DataFrame, keys: list[str], order: list[str], hot: HotKeys, reread: bool = False
+) -> Chunked:
     """Cut the hot keys of ``df`` into chunks; leave the others whole.
 
     Without hot keys this adds a constant and nothing else. With them, only
     their rows pass the extra range shuffle, which is written out so that chunk
-    numbers are the same wherever they are used.
+    numbers are the same wherever they are used. ``df`` is then read three times:
+    ``reread`` says it is a scan for which that is cheaper than writing it.
     """
     if hot.table is None:
         return Chunked(df.withColumn(CHUNK, F.lit(0)), keys, order)
     listed = F.broadcast(hot.table)
-    df = materialize(df, "groups")
+    if not reread:
+        df = materialize(df, "groups")
     parts = -(-hot.rows // hot.limit)
     big = materialize(
         df.join(listed, keys, "left_semi")
@@ -187,6 +191,16 @@ def overlap_pairs(
     )
 
 
+def scattered(key: Column, has_match: Column, *salt: str) -> Column:
+    """A text join key whose rows without a match are spread over many values.
+
+    For left joins where one key, such as blank or NULL, has no row on the right
+    but a large part of the left.
+    """
+    other = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*salt), F.lit(65536)).cast("string"))
+    return F.when(has_match, key).otherwise(other)
+
+
 def milli(qty: Column) -> Column:
     """Quantity with three decimals as whole thousandths, exact in a long."""
     return F.round(qty * 1000).cast("bigint")

@@ -2,7 +2,8 @@ import pytest
 
 from lotflow.operators.receipts import first_receipt, first_receipt_incremental
 from lotflow.plans.jobs import run_first_receipts
-from lotflow.sources.tables import of_client
+from lotflow.sources.tables import of_client, read_work
+from lotflow.streaming.receipts import stream_first_receipts
 
 
 def _line(mblnr, zeile="1", matnr="M", charg="C", shkzg="S", mjahr="2020", **more):
@@ -69,3 +70,17 @@ def test_rank_filter_runs_before_the_shuffle(table, part):
     plan = first_receipt(table("mseg", _line("D1")), table("mkpf", _head("D1", "20200101")))
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in text and part in text
+
+
+def test_stream_loads_new_files_only(spark, table, rows, tmp_path):
+    lines, heads, work = str(tmp_path / "mseg"), str(tmp_path / "mkpf"), str(tmp_path / "work")
+
+    def arrive(doc, day, matnr):
+        table("mkpf", _head(doc, day)).write.mode("append").parquet(heads)
+        table("mseg", _line(doc, matnr=matnr), _line(doc, "2", "other", mandt="999")).write.mode("append").parquet(lines)
+        stream_first_receipts(spark, lines, heads, work, str(tmp_path / "check")).awaitTermination()
+        return rows(read_work(spark, work, "mch1x"), "matnr", "mblnr")
+
+    assert arrive("D1", "20200101", "M") == [("M", "D1")]
+    assert arrive("D2", "20200102", "N") == [("M", "D1"), ("N", "D2")]
+    assert arrive("D3", "20200103", "M") == [("M", "D1"), ("N", "D2")]
