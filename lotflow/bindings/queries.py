@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.bindings.tables import EXTRACTED, view
+from lotflow.bindings.tables import EXTRACTED, driver_table, view
 from lotflow.functions import scalars as S
 from lotflow.operators import allocation, explosion, monthend, orders, receipts, report
 from lotflow.operators.routes import Routes, candidate_sources
@@ -55,7 +55,12 @@ class Tables:
     def _extract(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
         key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
         if key not in _EXTRACTS:
-            _EXTRACTS[key] = materialize(make().repartition(self.spark.sparkContext.defaultParallelism), name)
+            rows = make()
+            # a test folder is one small file per table, read by a task or two; larger input is split as it is
+            cores = self.spark.sparkContext.defaultParallelism
+            if driver_table(self.spark, self.sf_dir, "lineitem").rdd.getNumPartitions() < cores:
+                rows = rows.repartition(cores)
+            _EXTRACTS[key] = materialize(rows, name)
         return _EXTRACTS[key]
 
     def _once(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Window
@@ -222,9 +223,11 @@ def waterfall_allocate(
     buckets in route order and from the lots of a bucket in ``LOT_ORDER``.
     """
     routes = routes or Routes()
-    step = _placed_demand(demand, routes, min_hot_rows)
+    with ThreadPoolExecutor(2) as both:  # neither side needs the other yet
+        placed_demand = both.submit(_placed_demand, demand, routes, min_hot_rows)
+        placed_lots = both.submit(_placed_lots, lots, routes, min_hot_rows)
+        step, lot_lines = placed_demand.result(), placed_lots.result()
     lines = step.df.drop("first").withColumn("place", F.col("s"))
-    lot_lines = _placed_lots(lots, routes, min_hot_rows)
 
     # totals per (plant, own location), turns and bucket contents: one small table
     stock = lot_lines.groupBy(*BY_BUCKET).agg(F.max("end").alias("units"), F.count(F.lit(1)).alias("n"))
