@@ -354,7 +354,7 @@ def run_month_end(t: Tables) -> DataFrame:
     """The month-end job for every slice, on top of stored slices; orders queued by it."""
     path = scratch_path(t.spark, "work")
     source = {name: t[name] for name in ("ce13058", "vbrp", "aufk", "jest")}
-    t["ke30x_prior"].write.partitionBy("perio", "vtweg").parquet(f"{path}/ke30x")
+    tables.replace_slices(t["ke30x_prior"], f"{path}/ke30x", monthend.SLICE)
     t["aufkx"].write.parquet(f"{path}/aufkx")
     t.mch1x.write.parquet(f"{path}/mch1x")
     return jobs.run_month_end(t.spark, path, source)

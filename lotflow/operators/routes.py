@@ -62,12 +62,6 @@ class Routes:
         plant, _, location = source.partition(".")
         return plant, location[:4] or ANY
 
-    def bucket(self, source: str, location: str | None) -> Bucket:
-        """The bucket a source stands for, given the demand line's own location."""
-        if (source, location) in self.special:
-            return source, location
-        return self.parse(source)
-
     def _phase(self, plant: str) -> Phase:
         phase = Phase()
         for source in dict.fromkeys(self.sources[plant]):

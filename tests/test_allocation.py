@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lotflow.functions.ids import assign_row_id
 from lotflow.operators import allocation as A
-from lotflow.operators.routes import ROUTES, Routes, candidate_sources
+from lotflow.operators.routes import ROUTES, Routes, candidate_sources, sourcing_routes
 from lotflow.plans.jobs import run_allocation
 
 LOT = "matnr string, werks string, lgort string, charg string, budat string, uuid string, bal_qty decimal(13,3), alc_qty decimal(13,3)"
@@ -220,6 +220,14 @@ def test_demand_filters(table, rows):
     assert got.select("uuid").distinct().count() == 2
 
 
+def test_routes_are_ordered_and_cut_to_plant_and_location(spark, rows):
+    got = sourcing_routes(spark)
+    assert (got.count(), got.select("demand_plant").distinct().count()) == (33, 11)
+    assert rows(got.where("demand_plant = '381A' and priority in (1, 3, 7)"), "priority", "supply_plant", "supply_location") == [
+        (1, "381A", "****"), (3, "101A", "RM03"), (7, "101A", "PHTX"),
+    ]
+
+
 def test_candidates_keep_unrouted_lines(spark, rows):
     demand = spark.createDataFrame([need("D1", "482A"), need("D2", "999A"), need("D3", "921A", "RM04")], DEMAND)
     assert rows(candidate_sources(demand), "uuid", "priority", "supply_plant", "supply_location") == [
