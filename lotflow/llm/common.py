@@ -35,6 +35,25 @@ def map_arrow(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBat
     return df.mapInArrow(run, schema)
 
 
+def append(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
+    """Columns ``row`` (all of ``df``) and ``out`` (the results of ``ddl``): names cannot clash.
+
+    The batch function returns one value per row and column.
+    """
+    given, made = df.schema, StructType.fromDDL(ddl)
+    schema = StructType().add("row", given).add("out", made)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        arrow, step = to_arrow_schema(made), make()
+        for batch in batches:
+            out = step(batch)
+            row = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
+            results = pa.StructArray.from_arrays([pa.array(out[f.name], f.type) for f in arrow], fields=list(arrow))
+            yield pa.RecordBatch.from_arrays([row, results], names=["row", "out"])
+
+    return df.mapInArrow(run, schema)
+
+
 def texts(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [t or "" for t in batch.column(name).to_pylist()]

@@ -2,12 +2,32 @@
 
 from __future__ import annotations
 
+from lotflow.llm.decontaminate import op7_decontamination
 from lotflow.llm.packing import op3_packing
 from lotflow.llm.token_counts import op2_token_counts
 
 QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
+    "op7_decontamination": op7_decontamination,
 }
 
-ORACLES: dict[str, str] = {}
+OP7 = r"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+words AS (SELECT rid, doc_id, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM docs),
+items AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+sized AS (SELECT item_id, w, least(13, len(w)) AS n FROM items WHERE len(w) > 0),
+wins AS (SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS win
+         FROM (SELECT item_id, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM sized)),
+sizes AS (SELECT DISTINCT n FROM wins),
+places AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS win
+           FROM (SELECT rid, n, w, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE len(w) >= n)),
+hits AS (SELECT rid, p.n, i, item_id FROM places p JOIN wins USING (n, win)),
+covered AS (SELECT rid, count(DISTINCT j) AS n_hit FROM (SELECT rid, unnest(range(i, i + n)) AS j FROM hits) GROUP BY rid),
+found AS (SELECT rid, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS names FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY rid)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
+""".replace("\\\\", "\\")
+
+ORACLES: dict[str, str] = {"op7_decontamination": OP7}
