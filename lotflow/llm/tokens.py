@@ -68,6 +68,15 @@ class Encoder:
     def _library(self, batch: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(batch, add_special_tokens=False)]
 
+    def _learn(self, new: set[str]) -> None:
+        """Encode new pieces. Printable ASCII stands for itself in both byte alphabets, the blank aside: it needs the model only."""
+        model = self.tokenizer.model.tokenize
+        plain = [p for p in new if p.isascii() and p.isprintable()]
+        for p in plain:
+            self.pieces[p] = np.array([t.id for t in model(p.replace(" ", "Ġ"))], "<u4").tobytes()
+        other = list(new.difference(plain))
+        self.pieces.update(zip(other, self._library(other)))
+
     def _cut(self, text: str) -> list[str] | None:
         if self.pattern is None or _OTHER.search(text) or any(s in text for s in self.special):
             return None
@@ -80,8 +89,7 @@ class Encoder:
             cut = [self._cut(t) for t in values[part]]
             if len(self.pieces) > self.remember:
                 self.pieces.clear()
-            new = list({p for pieces in cut if pieces for p in pieces}.difference(self.pieces))
-            self.pieces.update(zip(new, self._library(new)))
+            self._learn(set().union(*filter(None, cut)).difference(self.pieces))
             get = self.pieces.__getitem__
             for text, pieces in zip(values[part], cut):
                 out.append(self._library([text])[0] if pieces is None else b"".join(map(get, pieces)))
