@@ -5,6 +5,7 @@ from __future__ import annotations
 from lotflow.llm.decontaminate import op7_decontamination
 from lotflow.llm.langid import op10_language_id
 from lotflow.llm.packing import op3_packing
+from lotflow.llm.pii import op9_pii
 from lotflow.llm.secrets import op1_secrets
 from lotflow.llm.token_counts import op2_token_counts
 
@@ -13,6 +14,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op7_decontamination": op7_decontamination,
+    "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
 }
 
