@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lotflow.llm.decontaminate import op7_decontamination
 from lotflow.llm.langid import op10_language_id
+from lotflow.llm.neardup import op4_near_duplicates
 from lotflow.llm.packing import op3_packing
 from lotflow.llm.pii import op9_pii
 from lotflow.llm.secrets import op1_secrets
@@ -13,6 +14,7 @@ QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
+    "op4_near_duplicates": op4_near_duplicates,
     "op7_decontamination": op7_decontamination,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
@@ -34,6 +36,20 @@ found AS (SELECT rid, count(*) AS n_items, string_agg(item_id::VARCHAR, ',' ORDE
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM words LEFT JOIN covered USING (rid) LEFT JOIN found USING (rid)
-""".replace("\\\\", "\\")
+"""
 
-ORACLES: dict[str, str] = {"op7_decontamination": OP7}
+OP4 = r"""
+WITH RECURSIVE docs AS (SELECT row_number() OVER () AS rid, doc_id,
+       regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS (SELECT DISTINCT rid, CASE WHEN len(w) < 4 THEN array_to_string(w, ' ') ELSE array_to_string(w[i:i + 3], ' ') END AS s
+             FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM docs WHERE len(w) > 0)),
+sizes AS (SELECT rid, count(*) AS n FROM shingles GROUP BY rid),
+common AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.rid <> b.rid GROUP BY 1, 2),
+links AS (SELECT a, b FROM common JOIN sizes x ON x.rid = a JOIN sizes y ON y.rid = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+reach AS (SELECT rid AS a, rid AS b FROM docs UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT reach.a AS rid, min(doc_id) AS component_id FROM reach JOIN docs ON docs.rid = reach.b GROUP BY 1)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept
+FROM docs LEFT JOIN sizes USING (rid) JOIN least USING (rid)
+"""
+
+ORACLES: dict[str, str] = {"op4_near_duplicates": OP4, "op7_decontamination": OP7}
