@@ -13,24 +13,30 @@ from pyspark.sql.types import StructType
 from lotflow.session import shuffle_partitions
 
 
+#: Rows of an Arrow batch: whole texts are read, so fewer than the usual 10,000.
+BATCH_ROWS = "2000"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def map_arrow(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
     """Run a batch function on every partition; ``make`` builds it once per task.
 
-    The function takes a record batch and returns its result columns by name;
-    their length may differ from that of the batch.
+    The function takes a record batch and returns its result columns by name, or
+    yields them in parts; their length may differ from that of the batch.
     """
     schema = StructType.fromDDL(ddl)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrow, step = to_arrow_schema(schema), make()
         for batch in batches:
-            if batch.num_rows:
-                out = step(batch)
-                yield pa.RecordBatch.from_arrays([pa.array(out[f.name], f.type) for f in arrow], schema=arrow)
+            out = step(batch)
+            for part in [out] if isinstance(out, dict) else out:
+                yield pa.RecordBatch.from_arrays([pa.array(part[f.name], f.type) for f in arrow], schema=arrow)
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 
@@ -50,6 +56,7 @@ def append(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch]
             row = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
             results = pa.StructArray.from_arrays([pa.array(out[f.name], f.type) for f in arrow], fields=list(arrow))
             yield pa.RecordBatch.from_arrays([row, results], names=["row", "out"])
+        pa.default_memory_pool().release_unused()
 
     return df.mapInArrow(run, schema)
 

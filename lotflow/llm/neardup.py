@@ -122,13 +122,18 @@ def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
 
     def make():
         def step(batch):
-            out = {"c": [], "s": []}
+            out: dict[str, list] = {"c": [], "s": []}
+            held = 0
             key = [batch.column(x).to_pylist() for x in ("c", "d1", "d2")]
             for i, own in shingle_sets(batch, "text", size):
                 if digest(own) == (key[1][i], key[2][i]):
                     out["c"].append(key[0][i])
                     out["s"].append(own.view(np.int64))
-            return out
+                    held += len(own)
+                if held > 500_000:  # sets take more room than their texts
+                    yield out
+                    out, held = {"c": [], "s": []}, 0
+            yield out
 
         return step
 
