@@ -8,9 +8,11 @@ meet there count their common coordinates; those with ``MATCH`` or more are
 compared on the full sets.
 
 Only links between different texts matter for the groups. First every class is
-compared with the smallest class of each of its lists; then only classes of one
-list that are not yet connected are compared with each other, which is exact and
-leaves large groups of copies linear.
+compared with a few centres of each of its lists, the likeliest first; then only
+classes of one list that are not yet connected are compared with each other,
+which is exact and leaves large groups of copies linear. One bit each of 1,024
+further MinHash values, kept for the classes that are posted, tells which pairs
+can reach the similarity before full sets are moved.
 """
 
 from __future__ import annotations
@@ -26,9 +28,16 @@ from lotflow.session import materialize
 
 #: Coordinates of a signature, and how many a pair must share: at a similarity of 0.8 fewer than 10 of 24 have a chance of 7e-6.
 COORDINATES, MATCH = 24, 10
+#: Bits of the sketch, and the share of equal ones that a pair must have: at a similarity of 0.8 it is 0.9 on average
+#: and less than this with a chance of 3e-5.
+BITS, EQUAL = 1024, 0.8615
+#: Passes before the exact one; centres of a list in each, and the likeliest of its centres that a class is compared with.
+PASSES, CENTRES, FIRST = 1, 8, 3
 _RANDOM = np.random.Generator(np.random.PCG64(77))
 _FACTOR = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64) | np.uint64(1)
 _SHIFT = _RANDOM.integers(1, 1 << 63, COORDINATES, dtype=np.uint64)
+_BIT_FACTOR = _RANDOM.integers(1, 1 << 63, BITS, dtype=np.uint64) | np.uint64(1)
+_BIT_SHIFT = _RANDOM.integers(1, 1 << 63, BITS, dtype=np.uint64)
 
 
 def shingle_sets(batch, name: str, size: int):
@@ -59,6 +68,16 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
+def bit_sketch(shingles: np.ndarray) -> np.ndarray:
+    """A bit of the smallest value under each of BITS hash functions, in numbers of 64 bits."""
+    least, step = np.empty(BITS, np.uint64), max(1, min(BITS, 500_000 // len(shingles)))
+    for k in range(0, BITS, step):
+        values = shingles[:, None] ^ _BIT_SHIFT[k : k + step]
+        values *= _BIT_FACTOR[k : k + step]
+        least[k : k + step] = values.min(axis=0)
+    return np.packbits((mix(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
+
+
 SKETCH = "id bigint, n bigint, d1 bigint, d2 bigint, sig array<int>"
 
 
@@ -92,47 +111,67 @@ def postings(classes: DataFrame, match: int) -> DataFrame:
     return own.select("c", "n", "keys", F.explode(F.slice("keys", F.lit(1), F.size("keys") - match + 1)).alias("key"))
 
 
+def _unlike(a: str, b: str):
+    """Number of different sketch bits."""
+    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(BITS // 64)), F.lit(0))
+
+
 def _alike(percent: int, match: int):
-    """Whether enough coordinates meet and the sizes allow the similarity."""
+    """Whether sizes and sketches allow the similarity and enough coordinates meet."""
     sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    return sizes & (F.size(F.array_intersect("ka", "kb")) >= match)
+    equal = 2 * EQUAL - 1 + 2 * (1 - EQUAL) * (percent - 80) / 20 if percent > 80 else percent / 80 * (2 * EQUAL - 1)
+    bits = _unlike("wa", "wb") <= int(BITS * (1 - (1 + equal) / 2))
+    return sizes & bits & (F.size(F.array_intersect("ka", "kb")) >= match) & F.expr("ra <> rb")
 
 
-def star_pairs(posted: DataFrame, percent: int, match: int) -> DataFrame:
-    """Each class with the smallest class of each of its lists."""
-    centre = posted.groupBy("key").agg(F.min(F.struct("c", "n", "keys")).alias("s"), F.count("*").alias("m")).where("m > 1")
-    centre = centre.select("key", F.col("s.c").alias("a"), F.col("s.n").alias("na"), F.col("s.keys").alias("ka"))
-    member = posted.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("kb"))
-    return member.join(centre, "key").where("a < b").where(_alike(percent, match)).select("a", "b", "na", "nb").distinct()
+def _side(posted: DataFrame, x: str) -> DataFrame:
+    names = {"c": x, "n": f"n{x}", "keys": f"k{x}", "bits": f"w{x}", "root": f"r{x}"}
+    return posted.select("key", *(F.col(k).alias(v) for k, v in names.items()))
 
 
-def open_pairs(posted: DataFrame, roots: DataFrame, percent: int, match: int) -> DataFrame:
-    """Classes that meet in a list and are not connected yet."""
-    rooted = posted.join(roots, posted.c == roots.node, "left").select("key", "c", "n", "keys", F.coalesce("root", "c").alias("root"))
+def unsettled(posted: DataFrame, roots: DataFrame) -> DataFrame:
+    """The postings of lists whose classes are not all connected, with the root of each class."""
+    rooted = posted.join(roots, posted.c == roots.node, "left").withColumn("root", F.coalesce("root", "c")).drop("node")
     split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    rooted = rooted.join(split, "key", "left_semi")
-    a = rooted.select("key", F.col("c").alias("a"), F.col("n").alias("na"), F.col("keys").alias("ka"), F.col("root").alias("ra"))
-    b = rooted.select("key", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("keys").alias("kb"), F.col("root").alias("rb"))
-    met = a.join(b, "key").where("a < b AND ra <> rb").where(_alike(percent, match))
-    return met.select("a", "b", "na", "nb").distinct()
+    return rooted.join(split, "key", "left_semi")
+
+
+def star_pairs(rooted: DataFrame, percent: int, match: int, turn: int = 0) -> DataFrame:
+    """Each class with the likeliest of the centres of its lists; centres are the smallest under a few hash orders."""
+    row = F.struct("c", "n", "keys", "bits", "root")
+    orders = [F.min(F.struct(F.xxhash64("c", F.lit(turn), F.lit(i)).alias("h"), row.alias("row"))).alias(f"s{i}") for i in range(CENTRES)]
+    centres = rooted.groupBy("key").agg(*orders).select("key", F.explode(F.array_distinct(F.array(*(F.col(f"s{i}.row") for i in range(CENTRES))))).alias("s"))
+    met = _side(rooted, "b").join(_side(centres.select("key", "s.*"), "a"), "key").where(_alike(percent, match))
+    # At most CENTRES for each of a class's lists.
+    best = met.groupBy("b", "nb").agg(F.sort_array(F.collect_set(F.struct(_unlike("wa", "wb").alias("d"), "a", "na"))).alias("all"))
+    best = best.select("b", "nb", F.explode(F.slice("all", 1, FIRST)).alias("x")).select("x.a", "b", "x.na", "nb")
+    ordered = F.expr("if(a < b, named_struct('a', a, 'b', b, 'na', na, 'nb', nb), named_struct('a', b, 'b', a, 'na', nb, 'nb', na))")
+    return best.select(ordered.alias("p")).select("p.*").distinct()
+
+
+def open_pairs(rooted: DataFrame, percent: int, match: int) -> DataFrame:
+    """Classes that meet in a list and are not connected yet, each pair at the first key that both have."""
+    met = _side(rooted, "a").join(_side(rooted, "b"), "key").where("a < b").where(_alike(percent, match))
+    return met.where(F.array_intersect("ka", "kb")[0] == F.col("key")).select("a", "b", "na", "nb")
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``c, s``: the full set of each of these classes, from one text that has it."""
+    """``c, s, bits``: the full set and the sketch of each of these classes, from one text that has it."""
 
     def make():
         def step(batch):
-            out: dict[str, list] = {"c": [], "s": []}
+            out: dict[str, list] = {"c": [], "s": [], "bits": []}
             held = 0
             key = [batch.column(x).to_pylist() for x in ("c", "d1", "d2")]
             for i, own in shingle_sets(batch, "text", size):
                 if digest(own) == (key[1][i], key[2][i]):
                     out["c"].append(key[0][i])
                     out["s"].append(own.view(np.int64))
+                    out["bits"].append(bit_sketch(own))
                     held += len(own)
                 if held > 500_000:  # sets take more room than their texts
                     yield out
-                    out, held = {"c": [], "s": []}, 0
+                    out, held = {"c": [], "s": [], "bits": []}, 0
             yield out
 
         return step
@@ -140,7 +179,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     wanted = classes.select("c", "rep", "d1", "d2")
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     found = texts.join(wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("rep"))).select("c", "d1", "d2", "text")
-    sets = materialize(map_arrow(found, "c bigint, s array<bigint>", make), "sets")
+    sets = materialize(map_arrow(found, "c bigint, s array<bigint>, bits array<bigint>", make), "sets")
     rows, distinct = sets.agg(F.count("*"), F.countDistinct("c")).first()
     return sets if rows == distinct else materialize(sets.dropDuplicates(["c"]), "sets")
 
@@ -170,9 +209,15 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     classes = materialize(classes, "classes")
     posted = materialize(postings(classes, MATCH), "postings")
     sets = class_sets(docs, classes.join(posted.select("c").distinct(), "c", "left_semi"), id_col, text_col, size)
-    links = materialize(confirm(star_pairs(posted, percent, MATCH), sets, percent), "links")
-    more = materialize(confirm(open_pairs(posted, components(links), percent, MATCH), sets, percent), "links")
-    roots = materialize(components(links.union(more)), "roots")
+    posted = materialize(posted.join(sets.select("c", "bits"), "c"), "postings")
+    rooted, links, roots = posted.withColumn("root", F.col("c")), None, None
+    for turn in range(PASSES + 1):
+        pairs = star_pairs(rooted, percent, MATCH, turn) if turn < PASSES else open_pairs(rooted, percent, MATCH)
+        found = materialize(confirm(pairs, sets, percent), "links")
+        links = found if links is None else links.union(found)
+        roots = materialize(components(links), "roots")
+        if turn < PASSES:
+            rooted = materialize(unsettled(posted, roots), "unsettled")
 
     named = classes.join(roots, classes.c == roots.node, "left").select("d1", "d2", "n", "rep", "copies", "root")
     least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
