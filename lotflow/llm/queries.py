@@ -9,12 +9,14 @@ from lotflow.llm.packing import op3_packing
 from lotflow.llm.pii import op9_pii
 from lotflow.llm.secrets import op1_secrets
 from lotflow.llm.token_counts import op2_token_counts
+from lotflow.llm.vectors import op6_embedding_links
 
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
+    "op6_embedding_links": op6_embedding_links,
     "op7_decontamination": op7_decontamination,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
@@ -52,4 +54,15 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, doc_id = comp
 FROM docs LEFT JOIN sizes USING (rid) JOIN least USING (rid)
 """
 
-ORACLES: dict[str, str] = {"op4_near_duplicates": OP4, "op7_decontamination": OP7}
+OP6 = """
+WITH RECURSIVE v AS (SELECT row_number() OVER () AS rid, vec_id, embedding::DOUBLE[] AS x FROM embeddings),
+good AS (SELECT * FROM v WHERE x IS NOT NULL AND len(x) > 0 AND len(list_filter(x, lambda e: e IS NULL OR NOT isfinite(e))) = 0 AND len(list_filter(x, lambda e: e <> 0)) > 0),
+links AS (SELECT a.rid AS a, b.rid AS b FROM good a JOIN good b ON len(a.x) = len(b.x) AND a.rid <> b.rid AND list_cosine_similarity(a.x, b.x) >= 0.9),
+reach AS (SELECT rid AS a, rid AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b),
+least AS (SELECT reach.a AS rid, min(vec_id) AS component_id FROM reach JOIN v ON v.rid = reach.b GROUP BY 1),
+counts AS (SELECT a AS rid, count(*) AS n FROM links GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM v LEFT JOIN counts USING (rid) JOIN least USING (rid)
+"""
+
+ORACLES: dict[str, str] = {"op4_near_duplicates": OP4, "op6_embedding_links": OP6, "op7_decontamination": OP7}
