@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from lotflow.llm.decontaminate import op7_decontamination
+from lotflow.llm.html_text import op5_html_text
 from lotflow.llm.langid import op10_language_id
 from lotflow.llm.neardup import op4_near_duplicates
 from lotflow.llm.packing import op3_packing
@@ -16,6 +17,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op3_packing": op3_packing,
     "op4_near_duplicates": op4_near_duplicates,
+    "op5_html_text": op5_html_text,
     "op6_embedding_links": op6_embedding_links,
     "op7_decontamination": op7_decontamination,
     "op9_pii": op9_pii,
