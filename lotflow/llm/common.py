@@ -17,8 +17,13 @@ from lotflow.session import shuffle_partitions
 BATCH_ROWS = "2000"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def small_batches(spark: SparkSession) -> None:
+    """Bound the memory of a batch of whole texts in this session."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

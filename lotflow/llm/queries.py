@@ -5,6 +5,7 @@ from __future__ import annotations
 from lotflow.llm.decontaminate import op7_decontamination
 from lotflow.llm.html_text import op5_html_text
 from lotflow.llm.langid import op10_language_id
+from lotflow.llm.licenses import TEMPLATES, op8_licenses
 from lotflow.llm.neardup import op4_near_duplicates
 from lotflow.llm.packing import op3_packing
 from lotflow.llm.pii import op9_pii
@@ -20,6 +21,7 @@ QUERIES = {
     "op5_html_text": op5_html_text,
     "op6_embedding_links": op6_embedding_links,
     "op7_decontamination": op7_decontamination,
+    "op8_licenses": op8_licenses,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
 }
@@ -67,4 +69,31 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM v LEFT JOIN counts USING (rid) JOIN least USING (rid)
 """
 
-ORACLES: dict[str, str] = {"op4_near_duplicates": OP4, "op6_embedding_links": OP6, "op7_decontamination": OP7}
+_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
+OP8 = rf"""
+WITH docs AS (SELECT row_number() OVER () AS rid, concat_ws('/', source, doc_id // 1000, doc_id // 100, doc_id) AS path,
+       concat_ws('/', source, doc_id // 1000, doc_id // 100) AS folder, coalesce(text, '') AS text FROM documents),
+n AS (SELECT count(*) AS n FROM docs),
+freq AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT rid, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS word FROM docs) WHERE word <> '' GROUP BY 1),
+tw AS (SELECT license, word, count(*) AS tf FROM (SELECT license, unnest(string_split_regex(lower(statement), '[^a-z0-9]+')) AS word FROM (VALUES {_ROWS}) t(license, statement)) WHERE word <> '' GROUP BY 1, 2),
+tv AS (SELECT license, word, tf * (ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0) AS w FROM tw LEFT JOIN freq USING (word), n),
+tn AS (SELECT license, sqrt(sum(w * w)) AS norm FROM tv GROUP BY 1),
+segs AS (SELECT rid, generate_subscripts(s, 1) AS line, unnest(s) AS seg FROM (SELECT rid, string_split_regex(text, '[.!?][ \t\r\n]+|\n') AS s FROM docs)),
+sw AS (SELECT rid, line, length(seg) AS chars, word, count(*) AS tf FROM (SELECT rid, line, seg, unnest(string_split_regex(lower(seg), '[^a-z0-9]+')) AS word FROM segs) WHERE word <> '' GROUP BY ALL),
+sv AS (SELECT rid, line, chars, word, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w FROM sw JOIN freq USING (word), n),
+sn AS (SELECT rid, line, sqrt(sum(w * w)) AS norm FROM sv GROUP BY 1, 2),
+dots AS (SELECT rid, line, chars, license, sum(sv.w * tv.w) AS dot FROM sv JOIN tv USING (word) GROUP BY 1, 2, 3, 4),
+scored AS (SELECT rid, line, chars, license, round(dot / sn.norm / tn.norm, 6) AS score FROM dots JOIN sn USING (rid, line) JOIN tn USING (license)),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid, line ORDER BY score DESC, license) AS r FROM scored WHERE score >= 0.7) WHERE r = 1),
+own AS (SELECT rid, array_to_string(list_sort(list_distinct(list(license))), ',') AS licenses, max(score) AS score, sum(chars) AS chars, arg_min(license, (-score, license)) AS license FROM best GROUP BY 1),
+files AS (SELECT folder, path, license, o.score FROM docs JOIN own o USING (rid) WHERE 4 * chars >= length(text)),
+given AS (SELECT folder AS above, license AS given, path AS from_path FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY score DESC, path) AS r FROM files) WHERE r = 1),
+above AS (SELECT folder, depth, array_to_string(parts[1:depth], '/') AS above FROM (SELECT folder, string_split(folder, '/') AS parts, unnest(range(0, len(string_split(folder, '/')) + 1)) AS depth FROM (SELECT DISTINCT folder FROM docs))),
+nearest AS (SELECT * FROM (SELECT folder, given, from_path, row_number() OVER (PARTITION BY folder ORDER BY depth DESC) AS r FROM above JOIN given USING (above)) WHERE r = 1)
+SELECT doc_id, path, coalesce(licenses, '') AS licenses, coalesce(score, 0.0)::DOUBLE AS score, coalesce(license, given) AS license,
+       CASE WHEN licenses IS NOT NULL THEN 'own' WHEN given IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+       CASE WHEN licenses IS NULL THEN from_path END AS from_path
+FROM docs LEFT JOIN own USING (rid) LEFT JOIN nearest USING (folder)
+"""
+
+ORACLES: dict[str, str] = {"op4_near_duplicates": OP4, "op6_embedding_links": OP6, "op7_decontamination": OP7, "op8_licenses": OP8}
