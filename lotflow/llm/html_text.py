@@ -98,6 +98,7 @@ def templates(pages: DataFrame) -> DataFrame:
         F.sum("pages").alias("pages"), F.sum("n").alias("n"), (F.sum("first") / F.sum("pages")).alias("first"), F.sum("chars").alias("chars"),
         F.sum("vector").alias("vector"), F.max("pages").alias("alike"),
     )
+    paths = materialize(paths, "paths")
     sizes = paths.where("path = ''").select("host", F.col("pages").alias("of")).where(F.col("of") >= LEAST_PAGES)
     # At most twice the paths of an average page are on half of a host's pages.
     frequent = paths.where("path <> ''").join(sizes, "host").where("2 * pages >= of")

@@ -71,7 +71,7 @@ FROM v LEFT JOIN counts USING (rid) JOIN least USING (rid)
 
 _ROWS = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
 OP8 = rf"""
-WITH docs AS (SELECT row_number() OVER () AS rid, concat_ws('/', source, doc_id // 1000, doc_id // 100, doc_id) AS path,
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, concat_ws('/', source, doc_id // 1000, doc_id // 100, doc_id) AS path,
        concat_ws('/', source, doc_id // 1000, doc_id // 100) AS folder, coalesce(text, '') AS text FROM documents),
 n AS (SELECT count(*) AS n FROM docs),
 freq AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT rid, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS word FROM docs) WHERE word <> '' GROUP BY 1),

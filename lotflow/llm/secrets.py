@@ -178,7 +178,7 @@ def redact(docs: DataFrame, model: dict | None = None) -> DataFrame:
     clean = found.select("row.*", text.alias("_clean"), (F.size("out.spans") > 0).alias("_found"))
     columns = {"text": F.col("_clean")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when("_found", F.length("_clean").cast("long")).otherwise(F.col("n_chars"))
+        columns["n_chars"] = F.when(F.col("_found"), F.length("_clean").cast("long")).otherwise(F.col("n_chars"))
     return clean.withColumns(columns).drop("_clean", "_found")
 
 
