@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -27,6 +28,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def release() -> None:
+    """Give freed memory back to the system: worker processes outlive their tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
 def map_arrow(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch], dict]]) -> DataFrame:
     """Run a batch function on every partition; ``make`` builds it once per task.
 
@@ -41,7 +50,8 @@ def map_arrow(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBat
             out = step(batch)
             for part in [out] if isinstance(out, dict) else out:
                 yield pa.RecordBatch.from_arrays([pa.array(part[f.name], f.type) for f in arrow], schema=arrow)
-        pa.default_memory_pool().release_unused()
+        step = out = part = None
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -61,7 +71,8 @@ def append(df: DataFrame, ddl: str, make: Callable[[], Callable[[pa.RecordBatch]
             row = pa.StructArray.from_arrays(batch.columns, fields=list(batch.schema))
             results = pa.StructArray.from_arrays([pa.array(out[f.name], f.type) for f in arrow], fields=list(arrow))
             yield pa.RecordBatch.from_arrays([row, results], names=["row", "out"])
-        pa.default_memory_pool().release_unused()
+        step = out = row = results = None
+        release()
 
     return df.mapInArrow(run, schema)
 

@@ -17,6 +17,8 @@ from lotflow.llm.common import append, chunks, map_arrow, table, texts
 
 DIMENSIONS, SYMBOLS = 1024, 128
 UNKNOWN = "und"
+#: Trigram vectors that a task remembers: 80 MB.
+KEPT = 20_000
 
 
 def _symbol(c: int) -> int:
@@ -148,17 +150,22 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
     dimensions = matrix.shape[1] if names else DIMENSIONS
 
     def make():
-        vectors, table_of, rank = Vectors(dimensions), [np.zeros((0, dimensions), np.float32)], np.full(SYMBOLS**3, -1, np.int32)
+        vectors, rank = Vectors(dimensions), np.full(SYMBOLS**3, -1, np.int32)
+        rows = np.empty((KEPT, dimensions), np.float32)
+        used = 0
 
         def rows_of(codes: np.ndarray) -> np.ndarray:
+            nonlocal used
             new = codes[rank[codes] < 0]
-            if len(new):
-                if len(table_of[0]) + len(new) > 40_000:  # bounds the task's memory
-                    rank.fill(-1)
-                    table_of[0], new = table_of[0][:0], codes
-                rank[new] = np.arange(len(table_of[0]), len(table_of[0]) + len(new))
-                table_of[0] = np.concatenate([table_of[0], vectors.of(new).astype(np.float32)])
-            return table_of[0][rank[codes]]
+            if used + len(new) > KEPT:
+                rank.fill(-1)
+                used, new = 0, codes
+            if len(new) > KEPT:
+                return vectors.of(codes).astype(np.float32)
+            rank[new] = np.arange(used, used + len(new))
+            rows[used : used + len(new)] = vectors.of(new)
+            used += len(new)
+            return rows[rank[codes]]
 
         def step(batch):
             values = texts(batch, text_col)
