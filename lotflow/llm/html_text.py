@@ -32,6 +32,8 @@ LEAST_PAGES = 3
 SHARE = 0.8
 #: Bytes of templates that are sent to every task; more are joined by shuffles.
 BROADCAST_BYTES = 16_000_000
+#: Elements that are part of a text, never the slot of one.
+_PART = re.compile(r"(?:p|h[1-6]|li|ul|ol|dl|dt|dd|blockquote|pre|figure|figcaption)(?:\.|$)")
 TEMPLATE = "host string, container string, fixed array<string>"
 
 
@@ -49,7 +51,7 @@ def choose(single: dict[str, int], chars: dict[str, int]) -> str:
         if named:
             return max(named, key=lambda p: (held[p], -single[p]))
     total = sum(chars.values())
-    wide = [p for p in single if total and held[p] >= SHARE * total]
+    wide = [p for p in single if total and held[p] >= SHARE * total and not _PART.match(p.rpartition("/")[2])]
     return max(wide, key=lambda p: (p.count("/"), held[p]), default="")
 
 
