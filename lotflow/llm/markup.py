@@ -67,7 +67,13 @@ def read(html: str) -> Iterator[Element | Block]:
         tag = (mark[2] or "").lower()
         if not tag:
             continue
-        if tag in INLINE:
+        if tag in INLINE or tag in RAW and mark[1]:
+            continue
+        if tag in RAW:
+            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
+            at = end.start() if end else len(html) + 1
+            close = html.find(">", at) if end else -1
+            at = close + 1 if close >= 0 else len(html) + 1
             continue
         if tag in ("br", "wbr"):
             parts.append(" " if tag == "br" else "")
@@ -90,12 +96,6 @@ def read(html: str) -> Iterator[Element | Block]:
         while stack[-1].tag in _CLOSED_BY_BLOCK:
             stack.pop()
         element = _element(stack[-1], tag, mark[3])
-        if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
-            at = end.start() if end else len(html) + 1
-            close = html.find(">", at) if end else -1
-            at = close + 1 if close >= 0 else len(html) + 1
-            continue
         if tag in VOID or mark[3].endswith("/") and tag not in ("p", "div", "article", "main", "section", "body", "html"):
             continue
         yield element
