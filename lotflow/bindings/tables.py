@@ -228,7 +228,7 @@ EXTRACTED = (
 )
 
 # A posting is an order's output when it is the first receipt of its batch, otherwise it is a consumption.
-# The rule that receipts are never returns keeps every producer earlier than its consumers.
+# Orders that post batches of each other lie on cycles.
 AUFM = f"""
     select '168' mandt, {_ORDER.format('l_orderkey')} aufnr, {_DOC} rsnum,
            case when f.zeile is not null then '0000' else {_code('l_linenumber', 4)} end rspos,
@@ -237,8 +237,7 @@ AUFM = f"""
            'ST' meins,
            case when f.zeile is not null or l_discount > 0.08 then 'S' else 'H' end shkzg,
            {_QTY} menge, cast(l_extendedprice as decimal(15,2)) dmbtr
-      from lineitem left join mch1x f on f.mblnr = {_DOC} and f.zeile = {_ITEM}
-     where l_returnflag <> 'R'"""
+      from lineitem left join mch1x f on f.mblnr = {_DOC} and f.zeile = {_ITEM}"""
 
 SCHEMA_CASTS = {"timestamp_ntz": "timestamp"}
 

@@ -9,8 +9,9 @@ from lotflow.functions.scalars import present
 
 
 def row_id(key_cols: list[str]) -> Column:
-    """Hash of the key columns; NULL and blank keys stay distinct."""
-    parts = [F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in key_cols]
+    """Hash of the key columns. Each part carries its length, so no two keys have one text; NULL has none."""
+    texts = [F.col(c).cast("string") for c in key_cols]
+    parts = [F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
     return F.sha2(F.concat_ws("|", *parts), 256)
 
 

@@ -73,16 +73,21 @@ def stock_bucket(lots: DataFrame, routes: Routes | None = None) -> DataFrame:
 
 
 def demand_lines(zsd0012: DataFrame) -> DataFrame:
-    """Open demand of outside customers, each line with a stable id."""
+    """Open demand of outside customers, each line with a stable id.
+
+    Equal lines are counted, not compared: the key and the number of the line
+    among its equals make the id, so a line that repeats often needs no window.
+    """
     wanted = (
         (F.col("mng01") > 0)
         & (F.col("plumi") == "-")
         & ~F.col("delkz").isin(*EXCLUDED_ELEMENTS)
         & ~F.col("kunnr").isin(*EXCLUDED_CUSTOMERS)
     )
-    rows = zsd0012.where(wanted).select(*DEMAND_KEY)
+    equal = zsd0012.where(wanted).groupBy(*DEMAND_KEY).agg(F.count(F.lit(1)).alias("_n"))
+    rows = equal.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_n")))).drop("_n")
     rows = rows.withColumn("bal_qty", F.col("mng01")).withColumn("alc_qty", F.lit(0).cast("decimal(13,3)"))
-    return assign_row_id(rows, DEMAND_KEY)
+    return assign_row_id(rows, [*DEMAND_KEY, "_copy"]).drop("_copy")
 
 
 @dataclass

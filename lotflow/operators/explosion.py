@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotflow.functions.ids import row_id
 from lotflow.functions.scalars import BLANK, signed, wip_factor
+from lotflow.operators.orders import endless_orders
 from lotflow.operators.scan import scattered
 from lotflow.session import materialize
 
@@ -24,6 +25,8 @@ BOM_CONTRACT = "E23070000001"
 BOM_PLANT = "481A"
 BOM_REF = ("P023", "9999")
 
+#: Steps up the orders before the graph is searched for cycles, which levelling takes out.
+CHECK_AFTER = 32
 POSTING = ["aufnr", "mjahr", "mblnr", "zeile"]
 ROW_COLUMNS = [
     "uuid", "aufnr", "wip", "rsnum", "rspos", "orsnum", "orspos", "mblnr", "mjahr", "zeile", "budat", "bwart", "matnr",
@@ -249,11 +252,18 @@ def explode_orders(
     made = new = materialize(own, "rows")
     links = materialize(wip, "wip")
     if stored is not None:
-        redone = orders.where(F.col("xstat") == "B").select("aufnr")
+        # orders in error have no rows: those blocked now, and those that levelling found on a cycle
+        redone = orders.where(F.col("xstat").isin("B", "E")).select("aufnr")
         stored = stored.join(redone, "aufnr", "left_anti").select(*ROW_COLUMNS)
         makers = links.select(F.col("waufnr").alias("aufnr")).distinct()
         new = new.unionByName(stored.join(makers, "aufnr", "left_semi"))
+    steps = 0
     while True:
+        steps += 1
+        if steps == CHECK_AFTER:
+            climbs = links.where(F.col("waufnr") != MARKER).select(F.col("waufnr").alias("aufnr"), F.col("aufnr").alias("submo"))
+            if not endless_orders(new.select("aufnr").distinct(), climbs.distinct()).isEmpty():
+                raise ValueError("orders in state B lie on a cycle: level them first")
         new = materialize(inherit_child_rows(links, new), "rows")
         if new.isEmpty():
             break
@@ -264,13 +274,14 @@ def explode_orders(
 
 
 def settle_orders(orders: DataFrame, state: Readiness, as_of: datetime) -> DataFrame:
-    """Final states: X for exploded orders, E with a remark for blocked ones, stamped."""
+    """Final states: X for exploded orders, E with a remark for blocked and cyclic ones, all stamped."""
     processed = F.col("xstat") == "B"
+    stamped = F.col("xstat").isin("B", "E")
     blocked = state.blocked.select("aufnr", F.col("remark").alias("_why"))
     failed = F.col("_why").isNotNull()
 
     def stamp(text: str, column: str):
-        return F.when(processed, F.lit(text)).otherwise(F.col(column)).alias(column)
+        return F.when(stamped, F.lit(text)).otherwise(F.col(column)).alias(column)
 
     return orders.join(blocked, "aufnr", "left").select(
         "aufnr",

@@ -22,6 +22,11 @@ REPORT_TABLES = (
 )
 
 
+def _stamp(as_of: datetime):
+    """The time as given, whatever the zones of driver and session."""
+    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def run_first_receipts(spark: SparkSession, work: str, lines: DataFrame, headers: DataFrame) -> DataFrame:
     """Append the new batches to the index; returns the index."""
     existing = tables.read_work(spark, work, "mch1x")
@@ -33,20 +38,22 @@ def run_first_receipts(spark: SparkSession, work: str, lines: DataFrame, headers
 def run_allocation(
     spark: SparkSession, work: str, erp: dict[str, DataFrame], as_of: datetime
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Allocate stock to demand; stores lots, demand and pairs under the run date."""
+    """Allocate stock to demand; stores lots, demand, pairs and the demand without a route under the run date."""
     run_date = as_of.strftime("%Y%m%d")
     index = tables.read_work(spark, work, "mch1x")
     lots = materialize(allocation.stock_lots(erp["mchbx"], index, erp["mseg"]), "lots")
     demand = materialize(allocation.demand_lines(erp["zsd0012"]), "demand")
-    pairs = materialize(allocation.waterfall_allocate(lots, demand).pairs, "pairs")
+    result = allocation.waterfall_allocate(lots, demand)
+    pairs = materialize(result.pairs, "pairs")
     results = {
         "stk_mchb": allocation.lot_balances(lots, pairs),
         "stk_mrp": allocation.demand_balances(demand, pairs),
         "stk_aloc": allocation.allocation_pairs(pairs),
+        "stk_open": result.unrouted.select("uuid", "werks", "matnr", "bal_qty", "reason"),
     }
     for name, rows in results.items():
-        tables.write_snapshot(rows.withColumn("created_at", F.lit(as_of)), f"{work}/{name}", run_date)
-    stored = [tables.current_snapshot(spark, f"{work}/{name}", run_date) for name in results]
+        tables.write_snapshot(rows.withColumn("created_at", _stamp(as_of)), f"{work}/{name}", run_date)
+    stored = [tables.current_snapshot(spark, f"{work}/{name}", run_date) for name in list(results)[:3]]
     return stored[0], stored[1], stored[2]
 
 
@@ -58,7 +65,7 @@ def run_stock(spark: SparkSession, work: str, erp: dict[str, DataFrame], as_of:
     idle = tables.read_work(spark, work, "stk_idle")
     tables.write_snapshot(report.stock_report(stock, index, idle, erp, as_of), f"{work}/stk_report", run_date)
     rows = tables.current_snapshot(spark, f"{work}/stk_report", run_date)
-    new = report.new_idle_rows(rows, idle).withColumn("created_at", F.lit(as_of).cast("timestamp_ntz"))
+    new = report.new_idle_rows(rows, idle).withColumn("created_at", _stamp(as_of))
     materialize(new, "stk_idle").write.mode("append").parquet(f"{work}/stk_idle")
     return rows
 
@@ -77,10 +84,13 @@ def run_month_end(
     """
     stored = tables.read_work(spark, work, "ke30x")
     tracked = tables.read_work(spark, work, "aufkx")
+    if channel is not None and period is not None and monthend.period_released(stored, channel, period):
+        return tracked.limit(0)
     released = materialize(monthend.released_slices(stored), "released")
     index = tables.read_work(spark, work, "mch1x")
-    trace = monthend.billing_trace(erp["ce13058"], erp["vbrp"], index, channel, period)
-    trace = materialize(trace.join(released, monthend.SLICE, "left_anti"), "ke30x")
+    # released slices go before the lines are joined with anything
+    lines = erp["ce13058"].join(released, monthend.SLICE, "left_anti")
+    trace = materialize(monthend.billing_trace(lines, erp["vbrp"], index, channel, period), "ke30x")
     # a slice with stored rows but no traced ones ends up empty
     redone = monthend.slices_of(stored, channel, period).join(released, monthend.SLICE, "left_anti")
     gone = materialize(redone.join(monthend.slices_of(trace), monthend.SLICE, "left_anti"), "gone")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -10,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-# One shuffle of a wide table then serves joins on several keys that share a
-# prefix; AQE splits skewed join partitions and coalesces small ones.
+# AQE splits skewed join partitions and coalesces small ones.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -42,6 +42,8 @@ def scratch_dir(spark: SparkSession) -> str:
     global _local_scratch
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared:
+        if not is_local(spark) and re.match(r"(?:file:/*)?/?tmp(?:/|$)", shared):
+            raise RuntimeError(f"{shared} is a folder of one machine: set spark.checkpoint.dir to one all executors share")
         return shared.rstrip("/")
     if not is_local(spark):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")

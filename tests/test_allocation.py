@@ -243,6 +243,24 @@ def test_row_ids_are_stable_and_fill_blanks_only(spark):
     assert first == [r["uuid"] for r in assign_row_id(df.repartition(3), ["k", "l"]).orderBy("l").collect()]
 
 
+def test_row_ids_of_different_keys_differ(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("\\N", "c"), (None, "c"), ("-", "c"), ("1:a", ""), ("", "1:a")], "k string, l string")
+    assert assign_row_id(df, ["k", "l"]).select("uuid").distinct().count() == 7
+
+
+def test_equal_demand_lines_are_served_apart(spark, table, rows, tmp_path):
+    line = dict(matnr="M", werks="112A", delkz="VC", plumi="-", kunnr="K", mng01=4)
+    erp = {
+        "mchbx": table("mchbx", dict(matnr="M", werks="112A", uuid="L1", bal_qty=10)),
+        "mseg": table("mseg"),
+        "zsd0012": table("zsd0012", line, line, dict(line, werks="999X")),
+    }
+    _, demand, _ = run_allocation(spark, str(tmp_path), erp, datetime(2020, 1, 2, 8))
+    assert rows(demand, "werks", "bal_qty", "alc_qty") == [("112A", 0, 4), ("112A", 0, 4), ("999X", 4, 0)]
+    assert demand.select("uuid").distinct().count() == 3
+    assert [r.reason for r in spark.read.parquet(f"{tmp_path}/stk_open").collect()] == ["no_route"]
+
+
 def test_job_stores_three_tables_per_day(spark, table, rows, tmp_path):
     erp = {
         "mchbx": table("mchbx", dict(matnr="M", werks="112A", uuid="L1", bal_qty=5)),

@@ -125,6 +125,23 @@ def test_marker_needs_no_producer_and_takes_the_contract_bom(table, rows):
     ]
 
 
+def test_orders_that_turn_cyclic_lose_their_rows_and_are_stamped(table, rows):
+    w = World().order("a").order("z").purchased("raw")
+    w.consume("a", "raw", 8).consume("z", "raw", 1)
+    stored = w.run(table).rows
+    w.orders["a"], w.orders["z"] = ("E", 0), ("X", 1)
+    result = w.run(table, stored)
+    assert rows(result.rows, "aufnr") == [("z",)]
+    assert rows(result.orders, "aufnr", "xstat", "xdate")[0] == ("a", "E", AS_OF.strftime("%Y%m%d"))
+
+
+def test_cyclic_orders_that_were_not_levelled_are_refused(table):
+    w = World().order("a").order("b").purchased("raw")
+    w.consume("a", "b", 1).consume("b", "a", 1).consume("a", "raw", 1)
+    with pytest.raises(ValueError, match="cycle"):
+        w.run(table)
+
+
 def test_rows_of_orders_done_earlier_are_kept_and_inherited(spark, table, rows):
     w = World().order("old", state="X", output=2).purchased("raw")
     w.consume("old", "raw", 8)

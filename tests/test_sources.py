@@ -14,10 +14,10 @@ def test_a_rerun_of_a_day_replaces_it_and_earlier_days_are_the_log(spark, rows,
     assert rows(tables.snapshot_log(spark, path, "20200103")) == [("a", "20200101"), ("c", "20200102")]
 
 
-def test_append_new_rejects_null_keys_and_stored_ones(spark, rows):
+def test_append_new_takes_null_as_a_key_and_leaves_stored_ones(spark, rows):
     stored = spark.createDataFrame([("a", "1"), ("a", "1"), (None, "2")], "k string, l string")
-    new = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), (None, "2", 3)], "k string, l string, v int")
-    assert rows(tables.append_new(stored, new, ["k", "l"]), "k", "l", "v") == [("a", "2", 2)]
+    new = spark.createDataFrame([("a", "1", 1), ("a", "2", 2), (None, "2", 3), (None, "3", 4)], "k string, l string, v int")
+    assert rows(tables.append_new(stored, new, ["k", "l"]), "k", "l", "v") == [("a", "2", 2), (None, "3", 4)]
 
 
 def test_a_missing_work_table_is_empty(spark, tmp_path):
@@ -59,3 +59,9 @@ def test_materialize_keeps_rows_and_schema(spark):
     kept = session.materialize(df, "numbers")
     assert kept.schema.simpleString() == df.schema.simpleString()
     assert sorted(r["id"] for r in kept.collect()) == [0, 1, 2]
+
+
+def test_a_local_folder_is_refused_on_a_cluster():
+    for path in ("/tmp/x", "file:///tmp/x", "file:/tmp"):
+        with pytest.raises(RuntimeError):
+            session.scratch_dir(_Session(path))
