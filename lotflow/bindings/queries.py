@@ -12,6 +12,7 @@ from lotflow.bindings.tables import EXTRACTED, driver_table, view
 from lotflow.functions import scalars as S
 from lotflow.operators import allocation, explosion, monthend, orders, receipts, report
 from lotflow.operators.routes import Routes, candidate_sources
+from lotflow.operators.routes import sourcing_routes as routes_of
 from lotflow.plans import jobs
 from lotflow.session import configure, materialize, scratch_path
 from lotflow.sources import tables
@@ -182,6 +183,14 @@ def demand_lines(t: Tables) -> DataFrame:
     return t.demand
 
 
+@query
+def sourcing_routes(t: Tables) -> DataFrame:
+    """The sources of every plant in order, and how many demand lines go by them."""
+    lines = t.demand.groupBy(F.col("werks").alias("demand_plant")).agg(F.count(F.lit(1)).alias("n_lines"))
+    routes = routes_of(t.spark).join(lines, "demand_plant", "left")
+    return routes.withColumn("n_lines", F.coalesce("n_lines", F.lit(0)).cast("long"))
+
+
 @query
 def candidate_source_lines(t: Tables) -> DataFrame:
     return candidate_sources(t.demand).select(
@@ -332,7 +341,7 @@ def released_slices(t: Tables) -> DataFrame:
 
 @query
 def billing_trace(t: Tables) -> DataFrame:
-    return monthend.billing_trace(t["ce13058"], t["vbrp"], t.mch1x).drop("rid")
+    return monthend.billing_trace(t["ce13058"], t["vbrp"], t.mch1x)
 
 
 @query
@@ -365,7 +374,8 @@ def run_month_end(t: Tables) -> DataFrame:
 
 @query
 def reset_orders(t: Tables) -> DataFrame:
-    return orders.reset_orders(t.levelled)
+    """All orders start over but those that the explosion has done."""
+    return orders.reset_orders(t.exploded.orders)
 
 
 @query

@@ -42,10 +42,12 @@ DEMAND_KEY = ["werks", "matnr", "delkz", "delnr", "del12", "delps", "delet", "da
 def stock_lots(mchbx: DataFrame, first_receipt: DataFrame, mseg: DataFrame) -> DataFrame:
     """Stock lines with the sales channel, from the plant of the batch's first receipt
     where there is one, else from location and plant."""
-    origin = first_receipt.select("matnr", "charg", "mjahr", "mblnr", "zeile").join(
-        mseg.select("mjahr", "mblnr", "zeile", F.col("werks").alias("_made_at")),
-        ["mjahr", "mblnr", "zeile"],
-        "left",
+    # only lots at the hub ask for the plant of the receipt, and only four plants matter: both cut before the join
+    hub = mchbx.where(F.col("werks") == CHANNEL_PLANT).select("matnr", "charg").distinct()
+    made = mseg.where(F.col("werks").isin(*PH_PLANTS, *DT_PLANTS))
+    receipts = first_receipt.select("matnr", "charg", "mjahr", "mblnr", "zeile").join(hub, ["matnr", "charg"], "left_semi")
+    origin = receipts.join(
+        made.select("mjahr", "mblnr", "zeile", F.col("werks").alias("_made_at")), ["mjahr", "mblnr", "zeile"]
     )
     lots = mchbx.join(origin.select("matnr", "charg", "_made_at"), ["matnr", "charg"], "left")
     at_hub = F.col("werks") == CHANNEL_PLANT

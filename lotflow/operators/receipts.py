@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lotflow.session import materialize
 from lotflow.sources.tables import append_new
 
 BATCH = ["matnr", "charg"]
@@ -47,5 +51,8 @@ def first_receipt_incremental(existing: DataFrame, lines: DataFrame, headers: Da
     """
     watermark = existing.agg(F.max("cpudt").alias("cpudt")).scalar()
     recent = headers.where(F.col("cpudt") >= F.coalesce(watermark, F.lit("")))
-    new = append_new(existing, _receipt_lines(lines, recent), BATCH)
-    return _earliest(new, BATCH, ENTRY_ORDER)
+    new = materialize(_receipt_lines(lines, recent), "increment")
+    # of the index only the increment's batches are looked up; a small increment is sent to it
+    keys = new.select(*[F.col(k).alias(f"_{k}") for k in BATCH]).distinct()
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in BATCH])
+    return _earliest(append_new(existing.join(keys, same, "left_semi"), new, BATCH), BATCH, ENTRY_ORDER)
