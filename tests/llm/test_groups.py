@@ -7,7 +7,7 @@ import random
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import ODD, sorted_rows
+from samples import ODD, sorted_rows
 from lotflow.llm.components import components
 from lotflow.llm.decontaminate import drop_contaminated, find_contamination
 from lotflow.llm.neardup import keep_one, near_duplicates

@@ -6,7 +6,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from conftest import SF
+from samples import SF
 from lotflow.llm import langid
 from lotflow.llm.tokens import public
 from test_groups import groups, hits

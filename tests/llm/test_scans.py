@@ -10,7 +10,7 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from conftest import ODD, SF, sorted_rows
+from samples import ODD, SF, sorted_rows
 from lotflow.llm import langid, pii, secrets, semicrf
 from lotflow.llm.html_text import main_text, op5_html_text
 from lotflow.llm.licenses import scan_licenses

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from conftest import ODD, SF, sorted_rows
+from samples import ODD, SF, sorted_rows
 from lotflow.llm.packing import best_fit, local_search, op3_packing, pack_documents, pack_group
 from lotflow.llm.token_counts import count_tokens, op2_token_counts
 from lotflow.llm.tokens import Encoder, public
