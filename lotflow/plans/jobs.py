@@ -98,7 +98,7 @@ def run_month_end(
     tables.replace_slices(trace, f"{work}/ke30x", monthend.SLICE)
     queued = monthend.enqueue_orders(erp["aufk"], erp["jest"], tracked, trace)
     queued = materialize(queued, "aufkx")
-    queued.write.mode("append").parquet(f"{work}/aufkx")
+    queued.write.mode("append").parquet(tables.current_path(spark, work, "aufkx"))
     return queued
 
 
@@ -112,8 +112,6 @@ def run_explosion(spark: SparkSession, work: str, erp: dict[str, DataFrame], as_
     result = explosion.explode_orders(
         levelled, erp["aufm"], index, erp["afpo"], erp["ziebp023"], stored, as_of
     )
-    # both tables are read above: write them aside first, then in place
-    rows, after = materialize(result.rows, "aufmx"), materialize(result.orders, "aufkx")
-    rows.write.mode("overwrite").parquet(f"{work}/aufmx")
-    after.write.mode("overwrite").parquet(f"{work}/aufkx")
+    # rows and orders become current together
+    tables.publish(spark, work, {"aufmx": result.rows, "aufkx": result.orders})
     return tables.read_work(spark, work, "aufkx")

@@ -7,6 +7,7 @@ import pytest
 
 from lotflow.operators import explosion as X
 from lotflow.plans.jobs import run_explosion
+from lotflow.sources import tables
 
 AS_OF = datetime(2020, 1, 2, 3, 4, 5)
 
@@ -206,11 +207,11 @@ def test_job_is_repeatable(spark, table, rows, tmp_path):
     }
     orders = rows(run_explosion(spark, work, erp, AS_OF), "aufnr", "bomlv", "xstat")
     assert orders == [("a", 1, "X"), ("b", 2, "X"), ("c", 3, "X")]
-    exploded = rows(spark.read.parquet(f"{work}/aufmx"))
+    exploded = rows(tables.read_work(spark, work, "aufmx"))
     # everything is done: nothing is seeded, the stored rows stay as they are
     assert rows(run_explosion(spark, work, erp, AS_OF), "aufnr", "bomlv", "xstat") == orders
-    assert rows(spark.read.parquet(f"{work}/aufmx")) == exploded
+    assert rows(tables.read_work(spark, work, "aufmx")) == exploded
     # started over, the order and what it reaches come out the same
-    table("aufkx", dict(aufnr="a", xstat="E"), dict(aufnr="c", xstat="X")).write.mode("overwrite").parquet(f"{work}/aufkx")
+    tables.publish(spark, work, {"aufkx": table("aufkx", dict(aufnr="a", xstat="E"), dict(aufnr="c", xstat="X"))})
     assert rows(run_explosion(spark, work, erp, AS_OF), "aufnr", "bomlv", "xstat") == orders
-    assert rows(spark.read.parquet(f"{work}/aufmx")) == exploded
+    assert rows(tables.read_work(spark, work, "aufmx")) == exploded

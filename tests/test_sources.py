@@ -65,3 +65,25 @@ def test_a_local_folder_is_refused_on_a_cluster():
     for path in ("/tmp/x", "file:///tmp/x", "file:/tmp"):
         with pytest.raises(RuntimeError):
             session.scratch_dir(_Session(path))
+
+
+def test_tables_published_together_stay_a_pair_if_a_write_fails(spark, tmp_path):
+    path = str(tmp_path)
+    order = lambda n: spark.createDataFrame([(n, "X")], "aufnr string, xstat string")
+    row = lambda n: spark.createDataFrame([(n,)], "aufnr string")
+    order("0").write.parquet(f"{path}/aufkx")
+    current = lambda: [[r.aufnr for r in tables.read_work(spark, path, t).collect()] for t in ("aufmx", "aufkx")]
+    assert current() == [[], ["0"]]
+    tables.publish(spark, path, {"aufmx": row("1"), "aufkx": order("1")})
+    assert current() == [["1"], ["1"]]
+
+    class Failing:
+        @property
+        def write(self):
+            raise OSError("lost")
+
+    with pytest.raises(OSError):
+        tables.publish(spark, path, {"aufmx": row("2"), "aufkx": Failing()})
+    assert current() == [["1"], ["1"]]
+    tables.publish(spark, path, {"aufmx": row("3"), "aufkx": tables.read_work(spark, path, "aufkx")})
+    assert current() == [["3"], ["1"]]
