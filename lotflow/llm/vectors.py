@@ -2,11 +2,14 @@
 
 Method: a neighbour graph starts from sorted random-hyperplane codes and is
 refined by joining each vector's neighbours and reverse neighbours with each
-other, keeping the nearest ones. Its recall is audited by comparing a bounded
-number of vectors with all others; until the audit is passed, it is refined
-again from further codes. Lists whose every entry is a link are saturated: they
-are enlarged to all vectors that links connect, in blocks of bounded size, so
-links are counted in full. Links are confirmed in double precision.
+other, keeping the nearest ones. Lists whose every entry is a link are saturated
+and may lack others: these vectors are cut into cells around leaders, and cells
+of different components that the triangle inequality allows a link are compared
+in full. The components that result are compared within, in blocks of bounded
+size, so links are counted in full. The share of all links that components hold
+is audited by comparing a bounded number of vectors with all others; until the
+audit is passed, the graph is refined again from further codes, and if it never
+is, cells of all vectors are compared. Links are confirmed in double precision.
 """
 
 from __future__ import annotations
@@ -26,6 +29,8 @@ NEIGHBOURS, CODES, REACH = 8, 8, 4
 AUDIT = 256
 #: Vectors of a block; two blocks are compared by one task.
 BLOCK = 512
+#: Least cosine of a vector with the leader of its cell.
+CELL = 0.95
 EDGE = "u bigint, v bigint, s double"
 
 
@@ -155,13 +160,13 @@ def _sampled(reverse: DataFrame, keep: int) -> DataFrame:
     return spread.select("w", "x.m")
 
 
-def audit(graph: DataFrame, nodes: DataFrame, cosine: float) -> float:
-    """Share of the links of up to AUDIT vectors that the graph has; of saturated lists, as many as they hold."""
-    sample = nodes.join(graph.select(F.col("u").alias("c"), "near"), "c", "left").orderBy(F.xxhash64("c"), "c").limit(AUDIT).collect()
+def audit(roots: DataFrame, nodes: DataFrame, cosine: float) -> float:
+    """Share of the links of up to AUDIT vectors whose ends have one root, which are those that are counted."""
+    sample = nodes.orderBy(F.xxhash64("c"), "c").limit(AUDIT).collect()
     by_size: dict[int, list] = {}
     for r in sample:
-        by_size.setdefault(len(r.x), []).append((r.c, {e.v for e in r.near or []}, np.array(r.x)))
-    queries = {n: (np.array([r[0] for r in rows]), (lambda m: m / np.linalg.norm(m, axis=1)[:, None])(np.array([r[2] for r in rows]))) for n, rows in by_size.items()}
+        by_size.setdefault(len(r.x), []).append((r.c, np.array(r.x)))
+    queries = {n: (np.array([r[0] for r in rows]), (lambda m: m / np.linalg.norm(m, axis=1)[:, None])(np.array([r[1] for r in rows]))) for n, rows in by_size.items()}
 
     def make():
         def step(batch):
@@ -178,12 +183,81 @@ def audit(graph: DataFrame, nodes: DataFrame, cosine: float) -> float:
 
         return step
 
-    near = {r[0]: r[1] for rows in by_size.values() for r in rows}
-    known = nodes.sparkSession.createDataFrame([(int(q), sorted(map(int, v))) for q, v in near.items()] or [(0, [])], "q bigint, near array<bigint>")
-    hits = map_arrow(nodes.select("c", "x"), "q bigint, c bigint", make).where("q <> c").join(F.broadcast(known), "q")
-    counts = hits.groupBy("q").agg(F.count("*").alias("n"), F.sum(F.array_contains("near", F.col("c")).cast("int")).alias("k"))
-    wanted, got = counts.agg(F.sum(F.least("n", F.lit(NEIGHBOURS))), F.sum(F.least("k", F.lit(NEIGHBOURS)))).first()
-    return 1.0 if not wanted else got / wanted
+    hits = map_arrow(nodes.select("c", "x"), "q bigint, c bigint", make).where("q <> c")
+    rooted = lambda k: roots.select(F.col("node").alias(k), F.col("root").alias(f"root_{k}"))
+    both = hits.join(rooted("c"), "c", "left").join(rooted("q"), "q", "left")
+    wanted, got = both.agg(F.count("*"), F.sum((F.col("root_c") == F.col("root_q")).cast("int"))).first()
+    return 1.0 if not wanted else (got or 0) / wanted
+
+
+def cells(members: DataFrame) -> DataFrame:
+    """``c, root, x, cell``: members of a component around a leader ``cell`` with which they have a cosine of CELL or more."""
+    blocks = members.groupBy("root").count().select("root", F.ceil(F.col("count") / BLOCK).cast("int").alias("k"))
+    cut = members.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("c"), F.col("k")).cast("int"))
+    alone = F.xxhash64("root", "b")
+    cut = cut.withColumn("g", F.when(F.col("k") > 1, alone).otherwise(F.pmod(alone, F.lit(4 * partitions(members.sparkSession)))))
+
+    def make(rows: pa.Table) -> pa.Table:
+        c, lists = rows["c"].to_numpy(), rows["x"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        keys = np.stack([rows["root"].to_numpy(), rows["b"].to_numpy(), sizes], axis=1)
+        order = np.lexsort((c, *keys.T))
+        cuts = np.flatnonzero(np.r_[True, (keys[order][1:] != keys[order][:-1]).any(axis=1), True])
+        leader = np.zeros(len(c), np.int64)
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            own = order[a:z]
+            x, left = _matrix(lists.take(pa.array(own))), np.arange(z - a)
+            while len(left):
+                near = x[left] @ x[left[0]] >= CELL
+                near[0] = True
+                leader[own[left[near]]] = c[own[left[0]]]
+                left = left[~near]
+        return pa.table({"c": rows["c"], "root": rows["root"], "x": rows["x"], "cell": leader})
+
+    return cut.select("g", "c", "root", "x", "b").groupBy("g").applyInArrow(make, "c bigint, root bigint, x array<double>, cell bigint")
+
+
+def cross_links(members: DataFrame, cosine: float) -> DataFrame:
+    """``a, b``: a link of every two cells of ``members(c, root, x)`` that have one and different roots.
+
+    Exact: only cells whose leaders are further apart than the angle of a link and
+    twice that of a cell are passed over.
+    """
+    found = materialize(cells(members), "cells")
+    leaders = found.where("c = cell").select("cell", "root", "x")
+    k = max(1, -(-leaders.count() // BLOCK))
+    wide = np.cos(min(np.pi, np.arccos(min(1.0, cosine)) + 2 * np.arccos(CELL))) - 1e-6
+    block = F.pmod(F.xxhash64("cell"), F.lit(k)).cast("int")
+    pairs = leaders.select("cell", "root", "x", block.alias("b"), F.explode(F.sequence(F.lit(0), F.lit(k - 1))).alias("o"))
+    pairs = pairs.select("cell", "root", "x", "b", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
+
+    def meet(rows: pa.Table) -> pa.Table:
+        cell, root, b, lists = rows["cell"].to_numpy(), rows["root"].to_numpy(), rows["b"].to_numpy(), rows["x"].combine_chunks()
+        sizes = np.diff(lists.offsets.to_numpy())
+        inner, out = rows["i"][0].as_py() == rows["j"][0].as_py(), []
+        for size in np.unique(sizes):
+            pick = np.flatnonzero(sizes == size)
+            x = _matrix(lists.take(pa.array(pick)))
+            apart = root[pick][:, None] != root[pick]
+            if not inner:
+                apart &= b[pick][:, None] != b[pick]
+            p, q = np.nonzero(np.triu((x @ x.T >= wide) & apart, 1))
+            out.append((cell[pick][p], cell[pick][q]))
+        return pa.table({k: np.concatenate([o[n] for o in out]) for n, k in enumerate(("p", "q"))})
+
+    near = materialize(pairs.groupBy("i", "j").applyInArrow(meet, "p bigint, q bigint"), "near_cells")
+    sides = near.select("p", "q", F.col("p").alias("cell")).union(near.select("p", "q", F.col("q").alias("cell")))
+    both = sides.join(found.select("cell", "c", "x"), "cell")
+
+    def best(rows: pa.Table) -> pa.Table:
+        c, cell, lists = rows["c"].to_numpy(), rows["cell"].to_numpy(), rows["x"].combine_chunks()
+        x, left = _matrix(lists), cell == rows["p"][0].as_py()
+        s = x[left] @ x[~left].T
+        i, j = np.unravel_index(s.argmax(), s.shape)
+        hit = slice(0, int(s[i, j] >= cosine))
+        return pa.table({"a": c[left][i : i + 1][hit], "b": c[~left][j : j + 1][hit]})
+
+    return both.groupBy("p", "q").applyInArrow(best, "a bigint, b bigint")
 
 
 def count_links(nodes: DataFrame, roots: DataFrame, cosine: float) -> DataFrame:
@@ -223,6 +297,25 @@ def count_links(nodes: DataFrame, roots: DataFrame, cosine: float) -> DataFrame:
     return pairs.groupBy("g").applyInArrow(make, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n"))
 
 
+def connected(graph: DataFrame, nodes: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
+    """Links of the lists with those that saturated lists may lack, and the components they form."""
+    # A margin for single precision; the links are confirmed in double precision.
+    near = graph.select("u", F.explode("near").alias("e")).select("u", "e.v", (-F.col("e.d")).alias("s")).where(F.col("s") >= cosine - 1e-5)
+    once = near.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    side = lambda k: nodes.select(F.col("c").alias(k), F.col("x").alias(f"x{k}"))
+    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda a, b: a * b), F.lit(0.0), lambda t, e: t + e)
+    links = once.join(side("a"), "a").join(side("b"), "b").where(dot("xa", "xb") / F.sqrt(dot("xa", "xa") * dot("xb", "xb")) >= cosine)
+    links = materialize(links.select("a", "b"), "links")
+    roots = materialize(components(links), "roots")
+    # A link that no list has is one of two saturated lists.
+    full = graph.where((F.size("near") >= NEIGHBOURS) & (F.element_at("near", -1)["d"] <= 1e-5 - cosine)).select(F.col("u").alias("c"))
+    full = materialize(full.join(roots.withColumnRenamed("node", "c"), "c"), "saturated")
+    if full.select("root").distinct().limit(2).count() < 2:
+        return links, roots
+    links = materialize(links.union(cross_links(nodes.select("c", "x").join(full, "c"), cosine)), "links")
+    return links, materialize(components(links), "roots")
+
+
 def link_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id", vector_col: str = "embedding", recall: float = 0.97, rounds: int = 2, turns: int = 4) -> DataFrame:
     """``id, n_links, component_id, kept`` of every row.
 
@@ -232,7 +325,8 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     Repeated ids each get a row and count as rows; rows with a null id keep it and
     take the smallest id of their group, if any. Other columns are left out. An
     empty table gives no rows. ``rounds`` of refinement follow each of at most
-    ``turns`` starts; they end when the audited recall is reached.
+    ``turns`` starts; they end when the audited recall is reached. If none reaches
+    it, the cells of all vectors are compared.
     """
     nodes = clean(vectors, id_col, vector_col)
     nodes = materialize(nodes.withColumn("c", F.coalesce("rep", -F.pmod(F.xxhash64("x"), F.lit((1 << 62) - 1)) - 2)), "vectors")
@@ -244,15 +338,13 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
         graph = materialize(nearest(started, NEIGHBOURS), "graph")
         for _ in range(rounds):
             graph = materialize(refine(graph, nodes.select("c", "x"), NEIGHBOURS), "graph")
-        if audit(graph, nodes.select("c", "x"), cosine) >= recall:
+        links, roots = connected(graph, nodes, cosine)
+        reached = audit(roots, nodes.select("c", "x"), cosine) >= recall
+        if reached:
             break
-    # A margin for single precision; the links are confirmed in double precision.
-    near = graph.select("u", F.explode("near").alias("e")).select("u", "e.v", (-F.col("e.d")).alias("s")).where(F.col("s") >= cosine - 1e-5)
-    once = near.select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    side = lambda k: nodes.select(F.col("c").alias(k), F.col("x").alias(f"x{k}"))
-    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda a, b: a * b), F.lit(0.0), lambda t, e: t + e)
-    links = once.join(side("a"), "a").join(side("b"), "b").where(dot("xa", "xb") / F.sqrt(dot("xa", "xa") * dot("xb", "xb")) >= cosine)
-    roots = materialize(components(links.select("a", "b")), "roots")
+    if not reached:
+        every = nodes.join(roots.withColumnRenamed("node", "c"), "c", "left").select("c", F.coalesce("root", "c").alias("root"), "x")
+        roots = materialize(components(links.union(cross_links(every, cosine))), "roots")
     counts = count_links(nodes, roots, cosine)
 
     named = nodes.select("c", "rep", "copies").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").join(counts, "c", "left")

@@ -109,6 +109,26 @@ def test_vectors_equal_brute_force(spark):
     assert link_vectors(df.where("false")).count() == 0
 
 
+def test_linked_groups_of_nearer_copies_are_one(spark):
+    rng = np.random.default_rng(8)
+    unit = lambda v: v / np.linalg.norm(v)
+    rows = [rng.standard_normal(64) for _ in range(100)]
+    for inside, across in ((0.99, 0.95), (0.985, 0.96), (0.99, 0.8)):
+        p = unit(rng.standard_normal(64))
+        noise = rng.standard_normal(64)
+        q = across * p + np.sqrt(1 - across**2) * unit(noise - noise @ p * p)
+        rows += [np.sqrt(inside) * base + np.sqrt(1 - inside) * unit(rng.standard_normal(64)) for base in (p, q) for _ in range(30)]
+    cosines = (lambda m: m @ m.T)(np.array([unit(x) for x in rows]))
+    links = [(int(a), int(b)) for a, b in zip(*np.nonzero(np.triu(cosines >= 0.9, 1)))]
+    root = roots_of(links, range(len(rows)))
+    assert root[100] == root[159] and root[220] != root[279]
+    want = sorted([(i, sum(i in e for e in links), root[i], i == root[i]) for i in range(len(rows))], key=str)
+    df = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(rows)], "vec_id long, embedding array<double>")
+    assert sorted_rows(link_vectors(df)) == want
+    # A recall that no graph reaches: all cells are compared.
+    assert sorted_rows(link_vectors(df, recall=2.0, turns=1)) == want
+
+
 def hits(text, items, window=13):
     import re
 
