@@ -30,8 +30,9 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _ACTIVE = re.compile(r"[0-9@]+")
 #: Characters between active places that still form one region, and taken on either side of one.
 REACH = 28
-#: Tokens of a region that are decided together; it bounds the memory of a task.
-BLOCK = 512
+#: Tokens of a region that are decided together, which bounds the memory of a task, and those at either end of
+#: them that are only context: the neighbouring block decides these.
+BLOCK, CONTEXT = 512, 4 * semicrf.LONGEST
 ADDED = "crf_"
 
 
@@ -195,14 +196,21 @@ def model_spans(text: str, model: dict, base: list[tuple[int, int, int]], least:
     for low, high in regions(text):
         part = text[low:high]
         every = semicrf.tokens(part)
-        for at in range(0, len(every), BLOCK):
+        after = 0
+        for at in range(0, max(1, len(every) - 2 * CONTEXT), BLOCK - 2 * CONTEXT):
             cut = every[at : at + BLOCK]
+            # An entity belongs to the block that has it away from its ends.
+            begin = CONTEXT if at else 0
+            stop = len(cut) if at + BLOCK >= len(every) else BLOCK - CONTEXT
             first, end, features = semicrf.segments(part, cut)
             lattice = semicrf.Lattice(model, len(cut), first, end, features)
             entities = lattice.decode()
             if entities:
                 probability = lattice.marginals()
                 for s, y in entities:
+                    if not begin <= first[s] < stop or at + first[s] < after:
+                        continue
+                    after = at + end[s]
                     a, b = low + cut[first[s]][0], low + cut[end[s] - 1][1]
                     p = float(probability[s, y])
                     if p >= least and not any(x < b and a < z for x, _, z in base):
@@ -216,7 +224,7 @@ def scan(docs: DataFrame, model: dict, least: float = 0.95, text_col: str = "tex
     Ordered by start, kinds as listed, added ones (``crf_`` before their kind) last.
     Null and empty texts have no spans; repeated rows keep their own; an empty
     table gives no rows. The model sees regions of whole lines around digits and @
-    in blocks of 512 tokens; patterns see the whole text.
+    in overlapping blocks of 512 tokens; patterns see the whole text.
     """
 
     def make():
