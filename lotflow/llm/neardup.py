@@ -78,15 +78,15 @@ def bit_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((mix(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
-SKETCH = "id bigint, n bigint, d1 bigint, d2 bigint, sig array<int>"
+SKETCH = "id bigint, t bigint, n bigint, d1 bigint, d2 bigint, sig array<int>"
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """Set size, digest and signature of every text; the signature of an empty set is null."""
+    """Hash of the text, set size, digest and signature of every text; the signature of an empty set is null."""
 
     def make():
         def step(batch):
-            out = {"id": batch.column("id"), "n": [], "d1": [], "d2": [], "sig": []}
+            out = {"id": batch.column("id"), "t": batch.column("t"), "n": [], "d1": [], "d2": [], "sig": []}
             for _, own in shingle_sets(batch, "text", size):
                 one, two = digest(own)
                 for k, v in (("n", len(own)), ("d1", one), ("d2", two), ("sig", signature(own) if len(own) else None)):
@@ -95,7 +95,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFram
 
         return step
 
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")), SKETCH, make)
+    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text")), SKETCH, make)
 
 
 def postings(classes: DataFrame, match: int) -> DataFrame:
@@ -192,21 +192,13 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))).select("a", "b")
 
 
-def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``id, n_shingles, component_id, kept`` of every row.
-
-    Words end at blanks and control characters 9 to 13, A-Z count as a-z; a set
-    holds the runs of ``size`` words, or the whole text if it has fewer. Texts are
-    linked if their sets' similarity is ``percent`` in a hundred or more; null and
-    empty texts are linked with nothing. Rows with a null id keep it; one that
-    belongs to a group with ids gets the smallest of them. Repeated rows each get
-    theirs. Other columns are left out. An empty table gives no rows.
-    """
+def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """``id, t, n`` of every row, ``component`` and the hash ``first`` of the text that is kept under it; both null outside of groups."""
     rows = materialize(sketches(docs, id_col, text_col, size), "sketches")
-    classes = rows.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
-    # A class without any id gets a negative number of its own.
-    classes = classes.withColumn("c", F.coalesce("rep", -F.pmod("d1", F.lit((1 << 62) - 1)) - 2))
-    classes = materialize(classes, "classes")
+    named = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "t")))
+    classes = rows.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), named.alias("named"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+    # Numbered as written: classes of different texts may have one id, or none.
+    classes = materialize(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
     posted = materialize(postings(classes, MATCH), "postings")
     sets = class_sets(docs, classes.join(posted.select("c").distinct(), "c", "left_semi"), id_col, text_col, size)
     posted = materialize(posted.join(sets.select("c", "bits"), "c"), "postings")
@@ -219,18 +211,42 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
         if turn < PASSES:
             rooted = materialize(unsettled(posted, roots), "unsettled")
 
-    named = classes.join(roots, classes.c == roots.node, "left").select("d1", "d2", "n", "rep", "copies", "root")
-    least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
-    grouped = named.where("root IS NOT NULL OR copies > 1").join(least, "root", "left").select("d1", "d2", "n", F.coalesce("least", "rep").alias("component"))
-    out = rows.select("id", "n", "d1", "d2").join(grouped, ["d1", "d2", "n"], "left")
-    component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    rooted = classes.join(roots, classes.c == roots.node, "left").select("d1", "d2", "n", "named", "copies", "root")
+    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("named").alias("least"))
+    grouped = rooted.where("root IS NOT NULL OR copies > 1").join(least, "root", "left").select("d1", "d2", "n", F.coalesce("least", "named").alias("kept"))
+    out = rows.select("id", "t", "n", "d1", "d2").join(grouped, ["d1", "d2", "n"], "left")
+    return out.select("id", "t", "n", F.col("kept.id").alias("component"), F.col("kept.t").alias("first"))
+
+
+def _kept():
+    """Whether a row is the one of its group that is kept; null without an id."""
+    return (F.col("id") == F.coalesce("component", "id")) & (F.col("t") == F.coalesce("first", "t"))
+
+
+def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``id, n_shingles, component_id, kept`` of every row.
+
+    Words end at blanks and control characters 9 to 13, A-Z count as a-z; a set
+    holds the runs of ``size`` words, or the whole text if it has fewer. Texts are
+    linked if their sets' similarity is ``percent`` in a hundred or more; null and
+    empty texts are linked with nothing. Rows with a null id keep it; one that
+    belongs to a group with ids gets the smallest of them. Repeated rows each get
+    theirs; of different texts of a group with its smallest id one is kept. Other
+    columns are left out. An empty table gives no rows.
+    """
+    out = _grouped(docs, size, percent, id_col, text_col)
+    kept = F.coalesce(_kept(), F.lit(False)).alias("kept")
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), kept)
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest id of each group, unchanged; rows without an id stay."""
-    gone = near_duplicates(docs, size, percent).where("doc_id IS NOT NULL AND NOT kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """The document with the smallest id of each group, unchanged; rows without an id stay, repeated ones together.
+
+    Rows go by their id and text, so that another text with the id of a copy stays.
+    """
+    gone = _grouped(docs, size, percent, "doc_id", "text").where("id IS NOT NULL").where(~_kept()).select(F.col("id").alias("gone"), F.col("t").alias("gone_text")).distinct()
+    same = (docs["doc_id"].cast("long") == gone["gone"]) & (F.xxhash64(docs["text"]) == gone["gone_text"])
+    return docs.join(gone, same, "left_anti")
 
 
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:

@@ -42,7 +42,7 @@ def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
 
 
 def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``c, rep, copies, x``: one row per distinct usable vector, ``c`` its number. Others link with nothing.
+    """``rep, copies, x``: one row per distinct usable vector, ``rep`` its smallest id. Others link with nothing.
 
     Usable: not null, not empty, of finite components that are not all 0.
     """
@@ -322,14 +322,16 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
     Rows link whose vectors have a cosine of ``cosine`` or more; equal vectors are
     one node of the graph. Null, empty and zero vectors and those with null or
     non-finite components link with nothing, nor do vectors of different lengths.
-    Repeated ids each get a row and count as rows; rows with a null id keep it and
-    take the smallest id of their group, if any. Other columns are left out. An
+    Repeated ids each get a row and count as rows, and of different vectors of a
+    group with its smallest id one is kept; rows with a null id keep it and take
+    the smallest id of their group, if any. Other columns are left out. An
     empty table gives no rows. ``rounds`` of refinement follow each of at most
     ``turns`` starts; they end when the audited recall is reached. If none reaches
     it, the cells of all vectors are compared.
     """
     nodes = clean(vectors, id_col, vector_col)
-    nodes = materialize(nodes.withColumn("c", F.coalesce("rep", -F.pmod(F.xxhash64("x"), F.lit((1 << 62) - 1)) - 2)), "vectors")
+    # Numbered as written, since different vectors may have one id; in an order that follows from the vectors.
+    nodes = materialize(nodes.sortWithinPartitions("rep", F.xxhash64("x")).withColumn("c", F.monotonically_increasing_id()), "vectors")
     graph = None
     for turn in range(turns):
         started = start_edges(nodes.select("c", "x"), turn)
@@ -347,14 +349,17 @@ def link_vectors(vectors: DataFrame, cosine: float = 0.9, id_col: str = "vec_id"
         roots = materialize(components(links.union(cross_links(every, cosine))), "roots")
     counts = count_links(nodes, roots, cosine)
 
-    named = nodes.select("c", "rep", "copies").join(roots.select(F.col("node").alias("c"), "root"), "c", "left").join(counts, "c", "left")
-    least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("rep").alias("least"))
-    named = named.join(least, "root", "left").select("c", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("least", "rep").alias("component"))
-    named = materialize(nodes.select("c", "x").join(named, "c").select("x", "n_links", "component"), "named")
+    named = nodes.select("c", "rep", "copies", F.xxhash64("x").alias("h")).join(roots.select(F.col("node").alias("c"), "root"), "c", "left").join(counts, "c", "left")
+    least = named.where("root IS NOT NULL AND rep IS NOT NULL").groupBy("root").agg(F.min(F.struct("rep", "h")).alias("least"))
+    links_of = (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links")
+    first = F.coalesce(F.col("least.h") == F.col("h"), F.lit(True)).alias("first")
+    named = named.join(least, "root", "left").select("c", links_of, F.coalesce("least.rep", "rep").alias("component"), first)
+    named = materialize(nodes.select("c", "x").join(named, "c").select("x", "n_links", "component", "first"), "named")
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"))
     out = rows.join(named, "x", "left")
     component = F.coalesce("component", "id")
-    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(False)).alias("kept"))
+    kept = F.coalesce((F.col("id") == component) & F.coalesce("first", F.lit(True)), F.lit(False)).alias("kept")
+    return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"), kept)
 
 
 def op6_embedding_links(spark, sf_dir: str) -> DataFrame:

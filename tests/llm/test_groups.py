@@ -87,6 +87,26 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert kept.columns == odd.columns and kept.count() == len(ODD) - 1
 
 
+def test_texts_with_one_id_are_apart(spark):
+    text = lambda name, last: " ".join(f"{name}{i}" for i in range(60)) + f" {last}"
+    texts = [text(name, last) for name, last in (("a", "x"), ("a", "y"), ("a", "z"), ("b", "x"), ("c", "x"), ("c", "y"), ("c", "z"))]
+    frame = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (2, texts[3]), (1, texts[4]), (5, texts[5]), (None, texts[6])], "doc_id long, text string")
+    for rows in (frame, frame.repartition(3)):
+        assert sorted_rows(near_duplicates(rows, size=4), "doc_id", "component_id") == sorted([(1, 1), (2, 1), (2, 2), (1, 1), (5, 1), (None, 1)], key=str)
+        assert sorted(r.text for r in keep_one(rows, size=4).collect()) == sorted([texts[0], texts[3], texts[4], texts[6]])
+    # Two texts of one group with its smallest id: one is kept.
+    pair = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[2])], "doc_id long, text string")
+    assert keep_one(pair, size=4).count() == 1 and near_duplicates(pair, size=4).where("kept").count() == 1
+
+
+def test_vectors_with_one_id_are_apart(spark):
+    rows = [(1, [1.0, 0.0, 0.0]), (1, [1.0, 0.1, 0.0]), (1, [0.0, 0.0, 1.0]), (2, [0.0, 0.1, 1.0]), (2, [0.0, 1.0, 0.0])]
+    got = sorted_rows(link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "vec_id", "n_links", "component_id")
+    assert got == [(1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 0, 2), (2, 1, 1)]
+    kept = link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).where("kept")
+    assert sorted_rows(kept, "vec_id", "n_links") == [(1, 1), (1, 1), (2, 0)]
+
+
 def test_vectors_equal_brute_force(spark):
     rng = np.random.default_rng(5)
     rows = [rng.standard_normal(24) for _ in range(150)]
