@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 from typing import NamedTuple
@@ -13,6 +14,11 @@ RAW = frozenset("script style textarea title xmp noscript iframe noembed noframe
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span strike strong sub sup time tt u var".split())
 OUTSIDE = frozenset("head nav footer aside form button select option template dialog menu svg object audio video canvas noscript".split())
 NAMES = frozenset("ad ads adv advert advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies copyright disclaimer disqus footer header legal login menu menubar modal nav navbar navigation newsletter notice notices pager pagination popup promo promotion recommended related replies respond search share sharing sidebar signup social sponsor sponsored subscribe teaser toolbar topbar widget".split())
+#: Words before a name that make it a state of the page, and words after it that name its place or part.
+STATES = frozenset("has have no not with without hide show is".split())
+PLACES = frozenset("area bar block bottom box container inner item items left link links list outer right section slot top unit wrap wrapper".split())
+#: Share of a page's text that no element outside by its name holds.
+MOST = 0.9
 ROLES = frozenset("alert banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 #: Elements that a new block ends.
 _CLOSED_BY_BLOCK = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
@@ -27,35 +33,73 @@ class Block(NamedTuple):
     path: str
     text: str
     outside: bool
+    cause: int = 0
 
 
 class Element(NamedTuple):
     tag: str
     path: str
     outside: bool
+    cause: int = 0
 
 
 def _attributes(text: str) -> dict[str, str]:
     return {k.lower(): v.strip("\"'") for k, v in _ATTRIBUTE.findall(text)}
 
 
-def _element(parent: Element, tag: str, attributes: str) -> Element:
+def _named_outside(value: str) -> bool:
+    """Whether a class or id is a name of NAMES or ends with one, as ``page-sidebar`` and ``ad-slot-2`` but not ``has-sidebar``."""
+    parts = _NAME.findall(value)
+    while len(parts) > 1 and parts[-1] in PLACES:
+        parts.pop()
+    return bool(parts) and parts[-1] in NAMES and STATES.isdisjoint(parts[:-1])
+
+
+def _element(parent: Element, tag: str, attributes: str, number: int, spared: frozenset[int]) -> Element:
+    """An element; ``cause`` is the outermost one around it that only its name or being a form puts outside."""
     given = _attributes(attributes) if attributes.strip() else {}
-    names = _NAME.findall(f"{given.get('class', '')} {given.get('id', '')}".lower())
+    values = f"{given.get('class', '')} {given.get('id', '')}".lower()
+    names = _NAME.findall(values)
     role = given.get("role", "").lower()
     hidden = "hidden" in given or given.get("aria-hidden") == "true" or "display:none" in given.get("style", "").replace(" ", "").lower()
     # A header of an article holds its title; that of a page does not.
     header = tag == "header" and not re.search(r"/(?:article|main)\b", parent.path)
-    outside = parent.outside or tag in OUTSIDE or header or hidden or role in ROLES
-    if tag not in ("html", "body", "article", "main"):
-        outside = outside or not NAMES.isdisjoint(names)
+    outside, cause = parent.outside or tag in OUTSIDE and tag != "form" or header or hidden or role in ROLES, parent.cause
+    if not outside and tag not in ("html", "body", "article", "main") and number not in spared and (tag == "form" or any(map(_named_outside, values.split()))):
+        outside, cause = True, number
     kind = tag + "".join(f".{n}" for n in sorted(set(names)))
-    return Element(tag, f"{parent.path}/{kind}", outside)
+    return Element(tag, f"{parent.path}/{kind}", outside, cause)
+
+
+def read(html: str) -> list[Element | Block]:
+    """Elements where they start and blocks where they end, in page order; white space in a block is one blank.
+
+    A name or a form does not put outside what holds every article and main of
+    the page or, if it has none, MOST of its text.
+    """
+    spared: frozenset[int] = frozenset()
+    while True:
+        items = list(_read(html, spared))
+        if not any(i.cause for i in items):
+            return items
+        held, bodies, free, total = Counter(), set(), False, 0
+        for i in items:
+            if isinstance(i, Block):
+                total += len(i.text)
+                held[i.cause] += len(i.text)
+            elif i.tag in ("article", "main"):
+                bodies.add(i.cause)
+                free = free or not i.outside
+        held[0] = 0
+        most = max(held, key=held.__getitem__)
+        around = max(bodies - {0}, key=held.__getitem__, default=0) or (most if total and held[most] >= MOST * total else 0)
+        if free or not around:
+            return items
+        spared |= {around}
 
 
-def read(html: str) -> Iterator[Element | Block]:
-    """Elements where they start and blocks where they end, in page order; white space in a block is one blank."""
-    stack, parts, at = [Element("", "", False)], [], 0
+def _read(html: str, spared: frozenset[int]) -> Iterator[Element | Block]:
+    stack, parts, at, number = [Element("", "", False)], [], 0, 0
     while at <= len(html):
         mark = _MARK.search(html, at)
         text = html[at : mark.start() if mark else len(html)]
@@ -81,7 +125,7 @@ def read(html: str) -> Iterator[Element | Block]:
         block = " ".join("".join(parts).split())
         parts = []
         if block:
-            yield Block(stack[-1].path, block, stack[-1].outside)
+            yield Block(stack[-1].path, block, stack[-1].outside, stack[-1].cause)
         if mark[1]:
             if any(e.tag == tag for e in stack):
                 while stack.pop().tag != tag:
@@ -95,11 +139,12 @@ def read(html: str) -> Iterator[Element | Block]:
                 stack.pop()
         while stack[-1].tag in _CLOSED_BY_BLOCK:
             stack.pop()
-        element = _element(stack[-1], tag, mark[3])
+        number += 1
+        element = _element(stack[-1], tag, mark[3], number, spared)
         if tag in VOID or mark[3].endswith("/") and tag not in ("p", "div", "article", "main", "section", "body", "html"):
             continue
         yield element
         stack.append(element)
     block = " ".join("".join(parts).split())
     if block:
-        yield Block(stack[-1].path, block, stack[-1].outside)
+        yield Block(stack[-1].path, block, stack[-1].outside, stack[-1].cause)
