@@ -6,9 +6,12 @@ from lotflow.llm.decontaminate import op7_decontamination
 from lotflow.llm.html_text import op5_html_text
 from lotflow.llm.langid import op10_language_id
 from lotflow.llm.licenses import TEMPLATES, op8_licenses
+from lotflow.llm.manifest import LOWER, UPPER, op13_manifest
 from lotflow.llm.neardup import op4_near_duplicates
 from lotflow.llm.packing import op3_packing
 from lotflow.llm.pii import op9_pii
+from lotflow.llm.ranking import op11_ranked_search
+from lotflow.llm.repeats import op12_suffix_dedup
 from lotflow.llm.secrets import op1_secrets
 from lotflow.llm.token_counts import op2_token_counts
 from lotflow.llm.vectors import op6_embedding_links
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_pii": op9_pii,
     "op10_language_id": op10_language_id,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_suffix_dedup": op12_suffix_dedup,
+    "op13_manifest": op13_manifest,
 }
 
 OP7 = r"""
@@ -96,4 +102,59 @@ SELECT doc_id, path, coalesce(licenses, '') AS licenses, coalesce(score, 0.0)::D
 FROM docs LEFT JOIN own USING (rid) LEFT JOIN nearest USING (folder)
 """
 
-ORACLES: dict[str, str] = {"op4_near_duplicates": OP4, "op6_embedding_links": OP6, "op7_decontamination": OP7, "op8_licenses": OP8}
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11 = f"""
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS w FROM documents),
+stats AS (SELECT count(*) FILTER (len(w) > 0) AS docs, coalesce(sum(len(w)), 0)::BIGINT AS words FROM docs),
+items AS (SELECT row_number() OVER () AS q, item_id, {_TERMS} AS w FROM benchmark),
+asked AS (SELECT q, term, count(*) AS repeats FROM (SELECT q, unnest(w) AS term FROM items) GROUP BY 1, 2),
+held AS (SELECT rid, n, term, count(*) AS tf FROM (SELECT rid, len(w) AS n, unnest(w) AS term FROM docs) WHERE term IN (SELECT term FROM asked) GROUP BY 1, 2, 3),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM held, stats GROUP BY term, docs),
+scores AS (SELECT q, rid, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words))))::BIGINT AS score
+           FROM asked JOIN weights USING (term) JOIN held USING (term), stats GROUP BY 1, 2),
+ranked AS (SELECT q, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM scores JOIN docs USING (rid) WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked JOIN items USING (q) WHERE rank <= 10
+"""
+
+OP12 = """
+WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+parts AS (SELECT rid, begin, substr(h, 2 * begin + 1, 1398) AS part FROM (SELECT rid, h, unnest(range(0, len(h) // 2 - 199, 500)) AS begin FROM docs WHERE len(h) >= 400)),
+wins AS (SELECT rid, begin + j AS i, md5(substr(part, 2 * j + 1, 400)) AS k FROM (SELECT rid, begin, part, unnest(range(0, len(part) // 2 - 199)) AS j FROM parts)),
+starts AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM wins WHERE k IN (SELECT k FROM wins GROUP BY k HAVING count(*) > 1)),
+runs AS (SELECT rid, i, count(*) FILTER (before IS NULL OR i > before + 200) OVER (PARTITION BY rid ORDER BY i) AS run FROM starts),
+spans AS (SELECT rid, min(i) AS a, max(i) + 200 AS z FROM runs GROUP BY rid, run),
+rest AS (SELECT rid, a, z, lead(a) OVER (PARTITION BY rid ORDER BY a) AS next FROM (SELECT rid, a, z FROM spans UNION ALL SELECT rid, -1, 0 FROM docs)),
+kept AS (SELECT rid, string_agg(substr(h, 2 * z + 1, 2 * (coalesce(next, len(h) // 2) - z)), '' ORDER BY a) AS kept, sum(z - a) FILTER (a >= 0) AS n_removed, count(*) - 1 AS n_spans
+         FROM rest JOIN docs USING (rid) GROUP BY rid)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, n_spans::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM docs JOIN kept USING (rid)
+"""
+
+OP13 = f"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS rid, doc_id, lang, text, translate(text, '{UPPER}', '{LOWER}') AS low,
+       concat({", ".join(f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars"))}) AS head,
+       list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda crc, byte:
+           list_reduce(list_prepend(xor(crc, byte), range(8)), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc FROM documents),
+leaves AS (SELECT rid, doc_id, coalesce('1' || lang, '0') AS g, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+           CASE WHEN xor(crc, 4294967295) % 3 = 0 THEN sha256(head || coalesce(strlen(low) || ':' || low, '-')) ELSE sha256(head || coalesce(strlen(text) || ':' || text, '-')) END AS other FROM texts),
+placed AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY g) AS n FROM leaves),
+trees AS (SELECT g, 0 AS level, idx, n, leaf AS node FROM placed
+          UNION ALL SELECT g, level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY idx)) FROM trees WHERE n > 1 GROUP BY g, level, idx // 8, n),
+subroots AS (SELECT g, node AS subroot, row_number() OVER (ORDER BY encode(g)) - 1 AS place, count(*) OVER () AS n FROM trees WHERE n = 1),
+roots AS (SELECT 0 AS level, place AS idx, n, subroot AS node FROM subroots
+          UNION ALL SELECT level + 1, idx // 8, (n + 7) // 8, sha256(string_agg(node, '' ORDER BY idx)) FROM roots WHERE n > 1 GROUP BY level, idx // 8, n),
+every AS (SELECT g, level, idx, node FROM trees WHERE n > 1 UNION ALL SELECT NULL, 100 + level, idx, node FROM roots WHERE n > 1),
+beside AS (SELECT g, level, idx, coalesce(string_agg(node, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+           coalesce(string_agg(node, '') OVER (run ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r FROM every WINDOW run AS (PARTITION BY g, level, idx // 8 ORDER BY idx)),
+path AS (SELECT rid, l, r, row_number() OVER (PARTITION BY rid ORDER BY level) AS step FROM (
+         SELECT rid, level, l, r FROM placed JOIN beside b ON b.g = placed.g AND b.idx = placed.idx // (8 ** level)::BIGINT
+         UNION ALL SELECT rid, level, l, r FROM placed JOIN subroots USING (g) JOIN beside b ON b.g IS NULL AND b.idx = place // (8 ** (level - 100))::BIGINT)),
+folds AS (SELECT rid, 0::BIGINT AS step, other AS node FROM placed
+          UNION ALL SELECT f.rid, f.step + 1, sha256(l || node || r) FROM folds f JOIN path p ON p.rid = f.rid AND p.step = f.step + 1),
+folded AS (SELECT rid, arg_max(node, step) AS folded_root FROM folds GROUP BY 1),
+proofs AS (SELECT rid, sha256(string_agg(l || r, '' ORDER BY step)) AS proof FROM path GROUP BY 1)
+SELECT doc_id, leaf, subroot, root, coalesce(proof, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN subroots USING (g) JOIN folded USING (rid) LEFT JOIN proofs USING (rid), (SELECT node AS root FROM roots WHERE n = 1)
+"""
+
+ORACLES: dict[str, str] = {"op4_near_duplicates": OP4, "op6_embedding_links": OP6, "op7_decontamination": OP7, "op8_licenses": OP8, "op11_ranked_search": OP11, "op12_suffix_dedup": OP12, "op13_manifest": OP13}
