@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lotflow.llm.common import map_arrow, partitions, table
+from lotflow.llm.common import map_arrow, partitions, releasing, table
 from lotflow.llm.components import components
 from lotflow.session import materialize
 
@@ -29,6 +29,8 @@ NEIGHBOURS, CODES, REACH = 8, 8, 4
 AUDIT = 256
 #: Vectors of a block; two blocks are compared by one task.
 BLOCK = 512
+#: Vectors of small components that share a group.
+GROUP = 8 * BLOCK
 #: Least cosine of a vector with the leader of its cell.
 CELL = 0.95
 EDGE = "u bigint, v bigint, s double"
@@ -195,7 +197,7 @@ def cells(members: DataFrame) -> DataFrame:
     blocks = members.groupBy("root").count().select("root", F.ceil(F.col("count") / BLOCK).cast("int").alias("k"))
     cut = members.join(blocks, "root").withColumn("b", F.pmod(F.xxhash64("c"), F.col("k")).cast("int"))
     alone = F.xxhash64("root", "b")
-    cut = cut.withColumn("g", F.when(F.col("k") > 1, alone).otherwise(F.pmod(alone, F.lit(4 * partitions(members.sparkSession)))))
+    cut = cut.withColumn("g", F.when(F.col("k") > 1, alone).otherwise(F.pmod(alone, F.lit(-(-members.count() // GROUP) or 1))))
 
     def make(rows: pa.Table) -> pa.Table:
         c, lists = rows["c"].to_numpy(), rows["x"].combine_chunks()
@@ -214,7 +216,7 @@ def cells(members: DataFrame) -> DataFrame:
                 left = left[~near]
         return pa.table({"c": rows["c"], "root": rows["root"], "x": rows["x"], "cell": leader})
 
-    return cut.select("g", "c", "root", "x", "b").groupBy("g").applyInArrow(make, "c bigint, root bigint, x array<double>, cell bigint")
+    return cut.select("g", "c", "root", "x", "b").groupBy("g").applyInArrow(releasing(make), "c bigint, root bigint, x array<double>, cell bigint")
 
 
 def cross_links(members: DataFrame, cosine: float) -> DataFrame:
@@ -245,7 +247,7 @@ def cross_links(members: DataFrame, cosine: float) -> DataFrame:
             out.append((cell[pick][p], cell[pick][q]))
         return pa.table({k: np.concatenate([o[n] for o in out]) for n, k in enumerate(("p", "q"))})
 
-    near = materialize(pairs.groupBy("i", "j").applyInArrow(meet, "p bigint, q bigint"), "near_cells")
+    near = materialize(pairs.groupBy("i", "j").applyInArrow(releasing(meet), "p bigint, q bigint"), "near_cells")
     sides = near.select("p", "q", F.col("p").alias("cell")).union(near.select("p", "q", F.col("q").alias("cell")))
     both = sides.join(found.select("cell", "c", "x"), "cell")
 
@@ -257,7 +259,7 @@ def cross_links(members: DataFrame, cosine: float) -> DataFrame:
         hit = slice(0, int(s[i, j] >= cosine))
         return pa.table({"a": c[left][i : i + 1][hit], "b": c[~left][j : j + 1][hit]})
 
-    return both.groupBy("p", "q").applyInArrow(best, "a bigint, b bigint")
+    return both.groupBy("p", "q").applyInArrow(releasing(best), "a bigint, b bigint")
 
 
 def count_links(nodes: DataFrame, roots: DataFrame, cosine: float) -> DataFrame:
@@ -273,8 +275,8 @@ def count_links(nodes: DataFrame, roots: DataFrame, cosine: float) -> DataFrame:
     pairs = member.select("root", "c", "copies", "x", "b", "k", other).select("root", "c", "copies", "x", "b", "k", F.least("b", "o").alias("i"), F.greatest("b", "o").alias("j"))
     # Small components share groups, so that a call compares many at once.
     alone = F.xxhash64("root", "i", "j")
-    count = F.lit(4 * partitions(nodes.sparkSession))
-    pairs = pairs.withColumn("g", F.when(F.col("k") > 1, alone).otherwise(F.pmod(alone, count)))
+    count = -(-roots.count() // GROUP) or 1
+    pairs = pairs.withColumn("g", F.when(F.col("k") > 1, alone).otherwise(F.pmod(alone, F.lit(count))))
 
     def make(rows: pa.Table) -> pa.Table:
         root, c, copies, b = (rows[k].to_numpy() for k in ("root", "c", "copies", "b"))
@@ -294,7 +296,7 @@ def count_links(nodes: DataFrame, roots: DataFrame, cosine: float) -> DataFrame:
             n[own] = near @ copies[own]
         return pa.table({"c": c, "n": n})
 
-    return pairs.groupBy("g").applyInArrow(make, "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n"))
+    return pairs.groupBy("g").applyInArrow(releasing(make), "c bigint, n bigint").groupBy("c").agg(F.sum("n").alias("n"))
 
 
 def connected(graph: DataFrame, nodes: DataFrame, cosine: float) -> tuple[DataFrame, DataFrame]:
