@@ -16,6 +16,7 @@ from lotflow.operators.routes import sourcing_routes as routes_of
 from lotflow.plans import jobs
 from lotflow.session import configure, materialize, scratch_path
 from lotflow.sources import tables
+from lotflow.streaming.documents import stream_receipts as start_receipts
 
 AS_OF = datetime(2001, 12, 1, 9, 0)
 AS_OF_LATE = datetime(2001, 12, 1, 15, 0)
@@ -150,6 +151,59 @@ def run_first_receipts(t: Tables) -> DataFrame:
     return jobs.run_first_receipts(t.spark, path, t["mseg"], t["mkpf"])
 
 
+def _late_index(t: Tables) -> DataFrame:
+    """The index before the documents up to PRIOR_ENTRY arrive, which are older."""
+    return materialize(receipts.first_receipt(t["mseg"], t["mkpf"].where(F.col("cpudt") >= PRIOR_ENTRY)), "late")
+
+
+def _late_changes(t: Tables) -> DataFrame:
+    """What the older documents change after the newer ones."""
+    path = scratch_path(t.spark, "work")
+    old = F.col("cpudt") < PRIOR_ENTRY
+    for part in (~old, old):
+        changes = jobs.run_receipt_corrections(t.spark, path, receipts.receipt_lines(t["mseg"], t["mkpf"].where(part)))
+    return changes
+
+
+@query
+def receipt_changes(t: Tables) -> DataFrame:
+    return _late_changes(t)
+
+
+@query
+def stream_receipts(t: Tables) -> DataFrame:
+    """The index after two runs of the stream: newer documents first, and half of all lines before their headers."""
+    path = scratch_path(t.spark, "stream")
+    half, old = F.pmod(F.xxhash64("mblnr", "zeile"), F.lit(2)) == 0, F.col("cpudt") < PRIOR_ENTRY
+    for lines, headers in ((half, ~old), (~half, old)):
+        t["mseg"].where(lines).write.mode("append").parquet(f"{path}/mseg")
+        t["mkpf"].where(headers).write.mode("append").parquet(f"{path}/mkpf")
+        start_receipts(t.spark, f"{path}/mseg", f"{path}/mkpf", f"{path}/work", f"{path}/check").awaitTermination()
+    return jobs.corrected_index(t.spark, f"{path}/work")
+
+
+@query
+def corrected_billing(t: Tables) -> DataFrame:
+    """Billing lines traced before the older documents arrived, corrected by what these change."""
+    stored = materialize(monthend.billing_trace(t["ce13058"], t["vbrp"], _late_index(t)), "ke30x")
+    return monthend.replace_period(stored, monthend.correct_trace(stored, receipts.corrected(_late_changes(t))))
+
+
+@query
+def corrected_edges(t: Tables) -> DataFrame:
+    """Order edges found before the older documents arrived, corrected by what these change."""
+    edges = materialize(orders.order_edges(t.aufm, t["jest"], _late_index(t)), "edges")
+    return orders.correct_edges(edges, t.aufm, t["jest"], t.mch1x, receipts.corrected(_late_changes(t)))
+
+
+@query
+def corrected_lots(t: Tables) -> DataFrame:
+    """Channels of the lots given before the older documents arrived, corrected by what these change."""
+    lots = materialize(allocation.stock_lots(t["mchbx"], _late_index(t), t["mseg"]), "lots")
+    lots = allocation.correct_lots(lots, t["mseg"], receipts.corrected(_late_changes(t)))
+    return lots.select("uuid", "matnr", "werks", "charg", "lgort", "budat", "bal_qty", "vtweg")
+
+
 # ---- stock allocation ----
 
 

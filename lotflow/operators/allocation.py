@@ -63,6 +63,14 @@ def stock_lots(mchbx: DataFrame, first_receipt: DataFrame, mseg: DataFrame) -> D
     return lots.withColumn("vtweg", channel).drop("_made_at")
 
 
+def correct_lots(lots: DataFrame, mseg: DataFrame, changed: DataFrame) -> DataFrame:
+    """``lots`` after ``changed`` index rows: lots of a changed batch get their channel again, the others keep it."""
+    batch = ["matnr", "charg"]
+    touched = lots.join(changed.select(*batch), batch, "left_semi").drop("vtweg")
+    kept = lots.join(changed.select(*batch), batch, "left_anti")
+    return kept.unionByName(stock_lots(touched, changed, mseg))
+
+
 def stock_bucket(lots: DataFrame, routes: Routes | None = None) -> DataFrame:
     """Adds ``sto_lgort``: the location where it is a source of its own, else '****'."""
     table = routes or Routes()

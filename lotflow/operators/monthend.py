@@ -83,6 +83,21 @@ def billing_trace(
     )
 
 
+def correct_trace(ke30x: DataFrame, changed: DataFrame) -> DataFrame:
+    """The unreleased slices of ``ke30x`` that ``changed`` index rows touch, whole, with date and order of the new receipts.
+
+    Each slice replaces the stored one; released slices stay as they were billed.
+    """
+    made = changed.select(
+        F.col("matnr").alias("artnr"), "charg", F.struct(F.col("budat").alias("mfgdt"), "aufnr").alias("_made")
+    )
+    unreleased = ke30x.join(released_slices(ke30x), SLICE, "left_anti")
+    touched = slices_of(unreleased.join(made, ["artnr", "charg"], "left_semi"))
+    rows = unreleased.join(touched, SLICE, "left_semi").join(made, ["artnr", "charg"], "left")
+    now = {c: F.when(F.col("_made").isNull(), F.col(c)).otherwise(F.col("_made")[c]) for c in ("mfgdt", "aufnr")}
+    return rows.withColumns(now).select(*TRACE_COLUMNS)
+
+
 def replace_period(ke30x: DataFrame, trace: DataFrame) -> DataFrame:
     """The stored table after each slice of ``trace`` took the place of the stored one."""
     kept = ke30x.join(slices_of(trace), SLICE, "left_anti")

@@ -39,6 +39,13 @@ def order_edges(aufm: DataFrame, jest: DataFrame, first_receipt: DataFrame) -> D
     )
 
 
+def correct_edges(edges: DataFrame, aufm: DataFrame, jest: DataFrame, first_receipt: DataFrame, changed: DataFrame) -> DataFrame:
+    """``edges`` after ``changed`` index rows: those of the orders that post a changed batch are derived again, no others."""
+    consumers = aufm.join(changed.select("matnr", "charg"), ["matnr", "charg"], "left_semi").select("aufnr").distinct()
+    again = order_edges(aufm.join(consumers, "aufnr", "left_semi"), jest, first_receipt)
+    return edges.join(consumers, "aufnr", "left_anti").unionByName(again)
+
+
 def _successors(orders: DataFrame, links: DataFrame) -> DataFrame:
     return orders.join(links, "aufnr").select(F.col("submo").alias("aufnr")).distinct()
 

@@ -35,6 +35,30 @@ def run_first_receipts(spark: SparkSession, work: str, lines: DataFrame, headers
     return tables.read_work(spark, work, "mch1x")
 
 
+def run_receipt_corrections(spark: SparkSession, work: str, arrived: DataFrame) -> DataFrame:
+    """Load receipts (lines with their entry columns) of any date; returns what they change in the index.
+
+    ``mch1x_log`` grows by the new first receipts; the earliest per batch is the
+    index, so a row that was replaced needs no deletion, and a load that is
+    repeated after a failure appends nothing.
+    """
+    stored = receipts.ordered_receipts(tables.read_work(spark, work, "mch1x_log"))
+    changes = materialize(receipts.receipt_changes(stored, arrived), "changes")
+    new = changes.where(F.col("change") == "+").select(*receipts.ORDERED_COLUMNS)
+    new.write.mode("append").parquet(tables.current_path(spark, work, "mch1x_log"))
+    return changes
+
+
+def corrected_index(spark: SparkSession, work: str) -> DataFrame:
+    """The index that the log of first receipts holds."""
+    return receipts.ordered_receipts(tables.read_work(spark, work, "mch1x_log")).select(*receipts.INDEX_COLUMNS)
+
+
+def compact_receipts(spark: SparkSession, work: str) -> None:
+    """Rewrite the log of first receipts to one row per batch; not beside a running load."""
+    tables.publish(spark, work, {"mch1x_log": receipts.ordered_receipts(tables.read_work(spark, work, "mch1x_log"))})
+
+
 def run_allocation(
     spark: SparkSession, work: str, erp: dict[str, DataFrame], as_of: datetime
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
