@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lotflow.functions.ids import row_id
 from lotflow.functions.scalars import BLANK, signed, wip_factor
+from lotflow.operators.closure import coefficients, longest_paths
 from lotflow.operators.orders import endless_orders
 from lotflow.operators.scan import scattered
 from lotflow.session import materialize
@@ -107,12 +108,23 @@ class Readiness:
     blocked: DataFrame
 
 
-def readiness(orders: DataFrame, wip: DataFrame) -> Readiness:
+def _walked_consumers(held: DataFrame, needed: DataFrame) -> DataFrame:
+    """``held`` and all orders that need one of them, by a walk that follows newly found ones only."""
+    found = new = held
+    while not new.isEmpty():
+        consumers = needed.join(new.withColumnRenamed("aufnr", "waufnr"), "waufnr", "left_semi")
+        new = materialize(consumers.select("aufnr").distinct().join(found, "aufnr", "left_anti"), "blocked")
+        found = found.unionByName(new)
+    return found
+
+
+def readiness(orders: DataFrame, wip: DataFrame, most: int | None = None) -> Readiness:
     """Which levelled orders (state B) can be exploded.
 
     An order is blocked by a producer that is neither done nor going to be, by
     itself, or by a producer without output; blocked orders block their consumers.
-    The walk follows newly blocked orders only.
+    These are found by doubling of paths; those before an order that
+    ``longest_paths`` leaves out, beyond ``most`` pairs, by a walk.
     """
     todo = orders.where(F.col("xstat") == "B").select("aufnr")
     state = orders.select(F.col("aufnr").alias("waufnr"), F.col("xstat").alias("_state"))
@@ -128,12 +140,15 @@ def readiness(orders: DataFrame, wip: DataFrame) -> Readiness:
         .drop("_state")
     )
     needed = materialize(needed, "needed")
-    new = materialize(needed.where(F.col("open") | F.col("no_output")).select("aufnr").distinct(), "blocked")
-    blocked = new
-    while not new.isEmpty():
-        consumers = needed.join(new.withColumnRenamed("aufnr", "waufnr"), "waufnr", "left_semi")
-        new = materialize(consumers.select("aufnr").distinct().join(blocked, "aufnr", "left_anti"), "blocked")
-        blocked = blocked.unionByName(new)
+    held = materialize(needed.where(F.col("open") | F.col("no_output")).select("aufnr").distinct(), "blocked")
+    links = needed.select(F.col("aufnr").alias("u"), F.col("waufnr").alias("v"))
+    paths, wide = longest_paths(links, most)
+    above = paths.join(held.withColumnRenamed("aufnr", "v"), "v", "left_semi").select(F.col("u").alias("aufnr"))
+    blocked = held.unionByName(above)
+    if wide is not None:
+        lost = materialize(held.join(wide.withColumnRenamed("v", "aufnr"), "aufnr", "left_semi"), "blocked")
+        blocked = blocked.unionByName(_walked_consumers(lost, needed))
+    blocked = materialize(blocked.distinct(), "blocked")
     failed = blocked.select(F.col("aufnr").alias("waufnr"), F.lit(True).alias("_failed"))
     reasons = needed.join(failed, "waufnr", "left").withColumn(
         "open", F.col("open") | F.coalesce("_failed", F.lit(False))
@@ -216,6 +231,23 @@ def inherit_child_rows(wip: DataFrame, exploded: DataFrame) -> DataFrame:
     )
 
 
+def material_totals(orders: DataFrame, wip: DataFrame, own: DataFrame) -> DataFrame:
+    """``aufnr, matnr, charg, meins, qty, amt``: what ``orders`` consume of each batch over all their producers.
+
+    The same sums as of the exploded rows, from one coefficient per order and
+    producer instead of one row per path. ``wip``: the WIP postings of orders that
+    can be exploded. ``own``: rows of direct consumption. Work in progress itself is not counted.
+    """
+    key = ["matnr", "charg", "meins"]
+    used = own.where("menge <> 0 OR dmbtr <> 0").groupBy("aufnr", *key).agg(F.sum("qty").alias("qty"), F.sum("amt").alias("amt"))
+    used = materialize(used, "used")
+    factors = wip.where(F.col("waufnr") != MARKER).select(F.col("aufnr").alias("u"), F.col("waufnr").alias("v"), F.col("wfactor").alias("f"))
+    into = coefficients(factors).join(used.withColumnRenamed("aufnr", "v"), "v")
+    parts = into.select(F.col("u").alias("aufnr"), *key, (F.col("qty") * F.col("c")).alias("qty"), (F.col("amt") * F.col("c")).alias("amt"))
+    sums = used.unionByName(parts).groupBy("aufnr", *key).agg(F.sum("qty").alias("qty"), F.sum("amt").alias("amt"))
+    return sums.join(orders.select("aufnr"), "aufnr", "left_semi")
+
+
 @dataclass
 class Explosion:
     """``rows``: the exploded rows after the run. ``orders``: the order table after the run."""

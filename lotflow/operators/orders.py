@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotflow.functions.scalars import BLANK, present
+from lotflow.operators.closure import ENDLESS, longest_paths
 from lotflow.operators.monthend import closing_status
 from lotflow.session import materialize
 
@@ -71,42 +72,56 @@ def endless_orders(seeds: DataFrame, links: DataFrame) -> DataFrame:
     return remaining
 
 
-def order_levels(seeds: DataFrame, edges: DataFrame, check_after: int = 32) -> tuple[DataFrame, DataFrame]:
+def _peeled_levels(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """``aufnr, w`` of all that ``entries(aufnr, w)`` reach over ``links``: the longest path, ENDLESS on and behind cycles.
+
+    What is reached is peeled: an order is settled when all that lead to it are,
+    and no order is settled that an endless path leads to.
+    """
+    reached = new = materialize(entries.select("aufnr").distinct(), "reached")
+    while not new.isEmpty():
+        new = materialize(_successors(new, links).join(reached, "aufnr", "left_anti"), "reached")
+        reached = reached.unionByName(new)
+    links = materialize(links.join(reached, "aufnr", "left_semi"), "links")
+    lengths, rest, settled = entries, materialize(reached, "rest"), None
+    while True:
+        held = links.select(F.col("submo").alias("aufnr")).distinct()
+        free = materialize(rest.join(held, "aufnr", "left_anti").join(lengths, "aufnr").groupBy("aufnr").agg(F.max("w").alias("w")), "free")
+        if free.isEmpty():
+            break
+        settled = free if settled is None else settled.unionByName(free)
+        rest = materialize(rest.join(free, "aufnr", "left_anti"), "rest")
+        passed = links.join(free, "aufnr").select(F.col("submo").alias("aufnr"), (F.col("w") + 1).alias("w"))
+        lengths = lengths.unionByName(passed)
+        links = materialize(links.join(free, "aufnr", "left_anti"), "links")
+    endless = rest.select("aufnr", F.lit(ENDLESS).alias("w"))
+    return endless if settled is None else settled.unionByName(endless)
+
+
+def order_levels(seeds: DataFrame, edges: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Level of every order reachable from ``seeds``: the longest path to it, seeds at 1.
 
-    Returns ``(aufnr, bomlv, cyclic)`` and the edges, written out. Every step
-    moves a frontier of distinct orders one edge down. Past ``check_after``
-    levels the graph is searched for cycles once and they are taken out, so the
-    walk ends at any depth. Orders on or behind a cycle have a NULL level.
+    Returns ``(aufnr, bomlv, cyclic)`` and the edges, written out. Orders on or
+    behind a cycle that a seed reaches have a NULL level. Paths are doubled, in some
+    log2(depth) rounds. Orders that ``longest_paths`` leaves out, beyond ``most``
+    pairs, are peeled after that, beginning where the others lead to them.
     """
     edges = materialize(edges, "edges")
-    links = edges.where(F.col("submo").isNotNull()).select("aufnr", "submo")
-    frontier = materialize(seeds.select("aufnr").distinct(), "frontier")
-    walked, cyclic, level = [], None, 0
-    while not frontier.isEmpty():
-        level += 1
-        walked.append(frontier.withColumn("bomlv", F.lit(level)))
-        frontier = materialize(_successors(frontier, links), "frontier")
-        if level == check_after:
-            cyclic = materialize(endless_orders(frontier, links), "cyclic")
-            gone = cyclic.withColumnRenamed("aufnr", "submo")
-            links = materialize(links.join(cyclic, "aufnr", "left_anti").join(gone, "submo", "left_anti"), "links")
-            frontier = materialize(frontier.join(cyclic, "aufnr", "left_anti"), "frontier")
-    if not walked:
-        walked = [frontier.withColumn("bomlv", F.lit(0))]
-    steps = walked[0]
-    for step in walked[1:]:
-        steps = steps.unionByName(step)
-    levels = steps.groupBy("aufnr").agg(F.max("bomlv").alias("bomlv"))
-    if cyclic is None:
-        return levels.withColumn("cyclic", F.lit(False)), edges
-    marked = levels.join(cyclic.withColumn("_on", F.lit(True)), "aufnr", "full")
-    levels = marked.select(
-        "aufnr",
-        F.when(F.col("_on").isNull(), F.col("bomlv")).alias("bomlv"),
-        F.col("_on").isNotNull().alias("cyclic"),
-    )
-    return levels, edges
+    links = edges.where(F.col("submo").isNotNull()).select("aufnr", "submo").distinct()
+    seeds = materialize(seeds.select("aufnr", F.lit(0).cast("long").alias("w")).distinct(), "frontier")
+    paths, wide = longest_paths(links.toDF("u", "v"), most)
+    below = paths.join(seeds.select(F.col("aufnr").alias("u")), "u", "left_semi").select(F.col("v").alias("aufnr"), "w")
+    wide = None if wide is None else materialize(wide.select(F.col("v").alias("aufnr")).distinct(), "wide")
+    roots = seeds if wide is None else seeds.join(wide, "aufnr", "left_anti")
+    longest = roots.unionByName(below).groupBy("aufnr").agg(F.max("w").alias("w"))
+    if wide is not None:
+        longest = materialize(longest, "levels")
+        into = links.join(wide.withColumnRenamed("aufnr", "submo"), "submo", "left_semi")
+        entries = into.join(longest, "aufnr").select(F.col("submo").alias("aufnr"), F.least(F.col("w") + 1, F.lit(ENDLESS)).alias("w"))
+        entries = entries.unionByName(seeds.join(wide, "aufnr", "left_semi")).groupBy("aufnr").agg(F.max("w").alias("w"))
+        longest = longest.unionByName(_peeled_levels(materialize(entries, "entries"), materialize(into.join(wide, "aufnr", "left_semi"), "links")))
+    cyclic = F.col("w") >= ENDLESS
+    return longest.select("aufnr", F.when(~cyclic, F.col("w").cast("int") + 1).alias("bomlv"), cyclic.alias("cyclic")), edges
 
 
 def register_suborders(aufkx: DataFrame, found: DataFrame) -> DataFrame:
@@ -116,7 +131,7 @@ def register_suborders(aufkx: DataFrame, found: DataFrame) -> DataFrame:
     return aufkx.unionByName(new.withColumns(blank).withColumn("bomlv", F.lit(0)), allowMissingColumns=True)
 
 
-def level_orders(aufkx: DataFrame, edges: DataFrame, check_after: int = 32) -> DataFrame:
+def level_orders(aufkx: DataFrame, edges: DataFrame, most: int | None = None) -> DataFrame:
     """The order table after levelling.
 
     Reached closed orders get status, level and state B, also those done before;
@@ -125,7 +140,7 @@ def level_orders(aufkx: DataFrame, edges: DataFrame, check_after: int = 32) -> D
     """
     tracked = materialize(reset_orders(aufkx), "orders")
     seeds = tracked.where(F.col("xstat") == BLANK).select("aufnr")
-    levels, edges = order_levels(seeds, edges, check_after)
+    levels, edges = order_levels(seeds, edges, most)
     closed = edges.select("aufnr", F.col("stat").alias("_stat"), F.col("chgnr").alias("_chgnr")).distinct()
     levels = materialize(levels.join(closed, "aufnr", "left"), "levels")
     known = register_suborders(tracked, levels)
