@@ -16,14 +16,14 @@ from lotflow.session import materialize
 #: Length of a path that leads through a cycle: there is no longest one.
 ENDLESS = 1 << 40
 #: Pairs up to which paths are doubled: this many, or a multiple of the links.
-PAIRS, PER_LINK = 2_000_000, 64
+PAIRS, PER_LINK = 1_000_000, 8
 
 
-def _stored(df: DataFrame, name: str, **counts) -> tuple[DataFrame, dict]:
+def stored(df: DataFrame, name: str, **counts) -> tuple[DataFrame, dict]:
     """``df`` written once, and numbers taken along the way."""
     seen = Observation()
-    stored = materialize(df.observe(seen, *[c.alias(k) for k, c in counts.items()]), name)
-    return stored, {k: v or 0 for k, v in seen.get.items()}
+    written = materialize(df.observe(seen, *[c.alias(k) for k, c in counts.items()]), name)
+    return written, {k: v or 0 for k, v in seen.get.items()}
 
 
 def longest_paths(links: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame | None]:
@@ -38,11 +38,11 @@ def longest_paths(links: DataFrame, most: int | None = None) -> tuple[DataFrame,
     all their pairs. The second result is None if no node was left out.
     """
     first = links.select("u", "v").distinct().select("u", "v", _length(F.lit(1)).alias("w"), F.lit(0).alias("since"))
-    paths, seen = _stored(first, "paths", n=F.count(F.lit(1)))
+    paths, seen = stored(first, "paths", n=F.count(F.lit(1)))
     most = most or max(PAIRS, PER_LINK * seen["n"])
     turn, new, wide = 0, seen["n"], None
     while new:
-        if seen["n"] > most:
+        if seen["n"] > most or _next_size(paths, turn) > 4 * most:
             found, paths, seen = _without_wide(paths, turn, most)
             wide = found if wide is None else wide.unionByName(found)
         changed = paths.where(F.col("since") == turn)
@@ -58,11 +58,18 @@ def longest_paths(links: DataFrame, most: int | None = None) -> tuple[DataFrame,
         best = F.max(F.struct("w", (-F.col("since")).alias("s")))
         merged = paths.unionByName(longer).groupBy("u", "v").agg(best.alias("x"))
         merged = merged.select("u", "v", F.col("x.w").alias("w"), (-F.col("x.s")).alias("since"))
-        paths, seen = _stored(merged, "paths", n=F.count(F.lit(1)), new=F.count_if(F.col("since") == turn))
+        paths, seen = stored(merged, "paths", n=F.count(F.lit(1)), new=F.count_if(F.col("since") == turn))
         new = seen["new"]
     return paths.drop("since"), wide
 
 
+def _next_size(paths: DataFrame, turn: int) -> int:
+    """Rows that the next round joins, counted before it does."""
+    ends = paths.where(F.col("since") == turn).groupBy(F.col("v").alias("m")).agg(F.count(F.lit(1)).alias("a"))
+    begins = paths.groupBy(F.col("u").alias("m")).agg(F.count(F.lit(1)).alias("b"))
+    return ends.join(begins, "m").agg(F.sum(F.col("a") * F.col("b"))).first()[0] or 0
+
+
 def _without_wide(paths: DataFrame, turn: int, most: int) -> tuple[DataFrame, DataFrame, dict]:
     """The nodes with more than their share of ``most`` pairs before them and all behind these; the paths to other nodes."""
     before = materialize(paths.groupBy("v").agg(F.count(F.lit(1)).alias("n")), "before")
@@ -73,7 +80,7 @@ def _without_wide(paths: DataFrame, turn: int, most: int) -> tuple[DataFrame, Da
         behind = paths.join(new.withColumnRenamed("v", "u"), "u", "left_semi").select("v").distinct()
         new = materialize(behind.join(wide, "v", "left_anti"), "wide")
         wide = wide.unionByName(new)
-    kept, seen = _stored(paths.join(wide, "v", "left_anti"), "paths", n=F.count(F.lit(1)))
+    kept, seen = stored(paths.join(wide, "v", "left_anti"), "paths", n=F.count(F.lit(1)))
     return wide, kept, seen
 
 
@@ -99,7 +106,7 @@ def coefficients(factors: DataFrame) -> DataFrame:
     while True:
         more = total.unionByName(times(power, total)).groupBy("u", "v").agg(F.sum("c").alias("c"))
         total = materialize(more, "total")
-        power, seen = _stored(times(power, power), "power", n=F.count(F.lit(1)), loop=F.count_if(F.col("u") == F.col("v")))
+        power, seen = stored(times(power, power), "power", n=F.count(F.lit(1)), loop=F.count_if(F.col("u") == F.col("v")))
         if seen["loop"]:
             raise ValueError("the graph has a cycle: level the orders first")
         if not seen["n"]:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lotflow.functions.scalars import BLANK, present
-from lotflow.operators.closure import ENDLESS, longest_paths
+from lotflow.operators.closure import ENDLESS, longest_paths, stored
 from lotflow.operators.monthend import closing_status
 from lotflow.session import materialize
 
@@ -72,54 +74,78 @@ def endless_orders(seeds: DataFrame, links: DataFrame) -> DataFrame:
     return remaining
 
 
-def _peeled_levels(entries: DataFrame, links: DataFrame) -> DataFrame:
-    """``aufnr, w`` of all that ``entries(aufnr, w)`` reach over ``links``: the longest path, ENDLESS on and behind cycles.
+def _peeled(entries: DataFrame, links: DataFrame, rounds: int | None = None) -> tuple[DataFrame, DataFrame, bool]:
+    """``aufnr, w`` of the orders that peel off, of those that are left, and whether some could follow.
 
-    What is reached is peeled: an order is settled when all that lead to it are,
-    and no order is settled that an endless path leads to.
+    An order is settled when all that lead to it over ``links`` are: its count of
+    open ones is then 0. ``w`` is the longest path to it from ``entries(aufnr, w)``,
+    NULL where none leads. One table is written per round, with the orders still open.
     """
+    ends = links.groupBy(F.col("submo").alias("aufnr")).agg(F.count(F.lit(1)).alias("open"))
+    nodes = links.select("aufnr").distinct().join(ends, "aufnr", "full").join(entries, "aufnr", "full")
+    free, n = F.count_if(F.col("open") == 0), F.count(F.lit(1))
+    state, seen = stored(nodes.select("aufnr", F.coalesce("open", F.lit(0)).alias("open"), "w"), "peel", free=free, n=n)
+    settled = []
+    while seen["free"] and len(settled) != rounds:
+        now = state.where("open = 0")
+        settled.append(now)
+        passed = links.join(now, "aufnr").groupBy(F.col("submo").alias("aufnr"))
+        passed = passed.agg(F.count(F.lit(1)).alias("_less"), F.max(F.col("w") + 1).alias("_w"))
+        rest = state.where("open > 0").join(passed, "aufnr", "left")
+        rest = rest.select("aufnr", (F.col("open") - F.coalesce("_less", F.lit(0))).alias("open"), F.greatest("w", "_w").alias("w"))
+        state, seen = stored(rest, "peel", free=free, n=n)
+    done = reduce(DataFrame.unionByName, settled, state.where("false")).select("aufnr", "w")
+    return done, state.select("aufnr", "w"), bool(seen["n"] and seen["free"])
+
+
+def _below_cycles(entries: DataFrame, links: DataFrame) -> DataFrame:
+    """``aufnr, w`` of all that ``entries(aufnr, w)`` reach over ``links``, ENDLESS on cycles and behind those that are reached."""
     reached = new = materialize(entries.select("aufnr").distinct(), "reached")
     while not new.isEmpty():
         new = materialize(_successors(new, links).join(reached, "aufnr", "left_anti"), "reached")
         reached = reached.unionByName(new)
-    links = materialize(links.join(reached, "aufnr", "left_semi"), "links")
-    lengths, rest, settled = entries, materialize(reached, "rest"), None
-    while True:
-        held = links.select(F.col("submo").alias("aufnr")).distinct()
-        free = materialize(rest.join(held, "aufnr", "left_anti").join(lengths, "aufnr").groupBy("aufnr").agg(F.max("w").alias("w")), "free")
-        if free.isEmpty():
-            break
-        settled = free if settled is None else settled.unionByName(free)
-        rest = materialize(rest.join(free, "aufnr", "left_anti"), "rest")
-        passed = links.join(free, "aufnr").select(F.col("submo").alias("aufnr"), (F.col("w") + 1).alias("w"))
-        lengths = lengths.unionByName(passed)
-        links = materialize(links.join(free, "aufnr", "left_anti"), "links")
-    endless = rest.select("aufnr", F.lit(ENDLESS).alias("w"))
-    return endless if settled is None else settled.unionByName(endless)
+    done, left, _ = _peeled(entries, materialize(links.join(reached, "aufnr", "left_semi"), "links"))
+    return done.unionByName(left.select("aufnr", F.lit(ENDLESS).alias("w")))
 
 
-def order_levels(seeds: DataFrame, edges: DataFrame, most: int | None = None) -> tuple[DataFrame, DataFrame]:
+def _below_deep(entries: DataFrame, links: DataFrame, most: int | None) -> DataFrame:
+    """As ``_below_cycles``, in some log2(depth) rounds by doubling; what ``longest_paths`` leaves out, beyond ``most`` pairs, is walked."""
+    paths, wide = longest_paths(links.toDF("u", "v"), most)
+    below = paths.join(entries.select(F.col("aufnr").alias("u"), F.col("w").alias("_w")), "u")
+    lengths = entries.unionByName(below.select(F.col("v").alias("aufnr"), F.least(F.col("w") + F.col("_w"), F.lit(ENDLESS)).alias("w")))
+    if wide is None:
+        return lengths.groupBy("aufnr").agg(F.max("w").alias("w"))
+    wide = materialize(wide.select(F.col("v").alias("aufnr")).distinct(), "wide")
+    lengths = materialize(lengths.groupBy("aufnr").agg(F.max("w").alias("w")), "levels")
+    inside = lengths.join(wide, "aufnr", "left_anti")
+    into = links.join(wide.withColumnRenamed("aufnr", "submo"), "submo", "left_semi")
+    begun = into.join(inside, "aufnr").select(F.col("submo").alias("aufnr"), F.least(F.col("w") + 1, F.lit(ENDLESS)).alias("w"))
+    begun = begun.unionByName(entries.join(wide, "aufnr", "left_semi")).groupBy("aufnr").agg(F.max("w").alias("w"))
+    among = materialize(into.join(wide, "aufnr", "left_semi"), "links")
+    behind = _below_cycles(materialize(begun, "entries"), among)
+    return inside.unionByName(behind.select("aufnr", F.least("w", F.lit(ENDLESS)).alias("w")))
+
+
+def order_levels(
+    seeds: DataFrame, edges: DataFrame, rounds: int = 32, most: int | None = None
+) -> tuple[DataFrame, DataFrame]:
     """Level of every order reachable from ``seeds``: the longest path to it, seeds at 1.
 
     Returns ``(aufnr, bomlv, cyclic)`` and the edges, written out. Orders on or
-    behind a cycle that a seed reaches have a NULL level. Paths are doubled, in some
-    log2(depth) rounds. Orders that ``longest_paths`` leaves out, beyond ``most``
-    pairs, are peeled after that, beginning where the others lead to them.
+    behind a cycle that a seed reaches have a NULL level. The graph is peeled from
+    above by counts of open consumers. What is left when no order comes free is on or behind cycles;
+    what is left after ``rounds`` is deep, and its paths are doubled.
     """
     edges = materialize(edges, "edges")
-    links = edges.where(F.col("submo").isNotNull()).select("aufnr", "submo").distinct()
+    links = materialize(edges.where(F.col("submo").isNotNull()).select("aufnr", "submo").distinct(), "links")
     seeds = materialize(seeds.select("aufnr", F.lit(0).cast("long").alias("w")).distinct(), "frontier")
-    paths, wide = longest_paths(links.toDF("u", "v"), most)
-    below = paths.join(seeds.select(F.col("aufnr").alias("u")), "u", "left_semi").select(F.col("v").alias("aufnr"), "w")
-    wide = None if wide is None else materialize(wide.select(F.col("v").alias("aufnr")).distinct(), "wide")
-    roots = seeds if wide is None else seeds.join(wide, "aufnr", "left_anti")
-    longest = roots.unionByName(below).groupBy("aufnr").agg(F.max("w").alias("w"))
-    if wide is not None:
-        longest = materialize(longest, "levels")
-        into = links.join(wide.withColumnRenamed("aufnr", "submo"), "submo", "left_semi")
-        entries = into.join(longest, "aufnr").select(F.col("submo").alias("aufnr"), F.least(F.col("w") + 1, F.lit(ENDLESS)).alias("w"))
-        entries = entries.unionByName(seeds.join(wide, "aufnr", "left_semi")).groupBy("aufnr").agg(F.max("w").alias("w"))
-        longest = longest.unionByName(_peeled_levels(materialize(entries, "entries"), materialize(into.join(wide, "aufnr", "left_semi"), "links")))
+    longest, left, deep = _peeled(seeds, links, rounds)
+    if not left.isEmpty():
+        # what leads to an order that is left from one that is settled is in its length already
+        links = materialize(links.join(left.select("aufnr"), "aufnr", "left_semi"), "links")
+        entries = left.where(F.col("w").isNotNull())
+        longest = longest.unionByName(_below_deep(entries, links, most) if deep else _below_cycles(entries, links))
+    longest = longest.where(F.col("w").isNotNull())
     cyclic = F.col("w") >= ENDLESS
     return longest.select("aufnr", F.when(~cyclic, F.col("w").cast("int") + 1).alias("bomlv"), cyclic.alias("cyclic")), edges
 
@@ -131,7 +157,7 @@ def register_suborders(aufkx: DataFrame, found: DataFrame) -> DataFrame:
     return aufkx.unionByName(new.withColumns(blank).withColumn("bomlv", F.lit(0)), allowMissingColumns=True)
 
 
-def level_orders(aufkx: DataFrame, edges: DataFrame, most: int | None = None) -> DataFrame:
+def level_orders(aufkx: DataFrame, edges: DataFrame, rounds: int = 32) -> DataFrame:
     """The order table after levelling.
 
     Reached closed orders get status, level and state B, also those done before;
@@ -140,7 +166,7 @@ def level_orders(aufkx: DataFrame, edges: DataFrame, most: int | None = None) ->
     """
     tracked = materialize(reset_orders(aufkx), "orders")
     seeds = tracked.where(F.col("xstat") == BLANK).select("aufnr")
-    levels, edges = order_levels(seeds, edges, most)
+    levels, edges = order_levels(seeds, edges, rounds)
     closed = edges.select("aufnr", F.col("stat").alias("_stat"), F.col("chgnr").alias("_chgnr")).distinct()
     levels = materialize(levels.join(closed, "aufnr", "left"), "levels")
     known = register_suborders(tracked, levels)
