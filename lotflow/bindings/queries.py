@@ -471,17 +471,17 @@ def order_readiness(t: Tables) -> DataFrame:
 
 @query
 def wip_marker_rows(t: Tables) -> DataFrame:
-    return explosion.wip_marker_rows(explosion.wip_postings(t.split)).drop("uuid")
+    return explosion.wip_marker_rows(explosion.wip_postings(t.split))
 
 
 @query
 def bonded_bom_rows(t: Tables) -> DataFrame:
-    return explosion.bonded_bom_rows(explosion.wip_postings(t.split), t["ziebp023"]).drop("uuid")
+    return explosion.bonded_bom_rows(explosion.wip_postings(t.split), t["ziebp023"])
 
 
 @query
 def pure_material_rows(t: Tables) -> DataFrame:
-    return explosion.pure_material_rows(t.split).drop("uuid")
+    return explosion.pure_material_rows(t.split)
 
 
 @query
@@ -490,12 +490,39 @@ def inherit_child_rows(t: Tables) -> DataFrame:
     split = materialize(t.split, "split")
     return explosion.inherit_child_rows(
         explosion.wip_postings(split), explosion.pure_material_rows(split)
-    ).drop("uuid")
+    )
 
 
 @query
 def explode_orders(t: Tables) -> DataFrame:
-    return t.exploded.rows.drop("uuid")
+    return t.exploded.rows
+
+
+@query
+def reexplode_orders(t: Tables) -> DataFrame:
+    """All rows after an explosion of postings of which every ninth order lacks its last ones, and one of what these change."""
+    early = t.aufm.join(t["afpo"].where(F.pmod(F.xxhash64("aufnr"), F.lit(9)) == 0).select("aufnr"), "aufnr", "left_anti")
+    late = t.aufm.join(early.select("aufnr").distinct(), "aufnr", "left_anti").where(F.col("zeile") < "0003")
+    before = materialize(early.unionByName(late), "before")
+    sources = (t.mch1x, t["afpo"], t["ziebp023"])
+    first = explosion.explode_orders(t.levelled, before, *sources, None, AS_OF)
+    stored = materialize(first.rows, "stored")
+    changed = explosion.changed_orders(before, t.aufm)
+    delta = explosion.reexplode_orders(materialize(first.orders, "orders"), changed, t.aufm, *sources, stored, AS_OF)
+    return explosion.apply_delta(stored, delta)
+
+
+@query
+def material_totals(t: Tables) -> DataFrame:
+    """Raw material per order by coefficients, equal to the sums of the exploded rows."""
+    split = materialize(t.split, "split")
+    wip = explosion.wip_postings(split)
+    ready = explosion.readiness(t.levelled, wip).ready
+    wip = materialize(wip.join(ready, "aufnr", "left_semi"), "wip")
+    own = explosion.bonded_bom_rows(wip, t["ziebp023"]).unionByName(explosion.pure_material_rows(split.join(ready, "aufnr", "left_semi")))
+    totals = explosion.material_totals(ready, wip, own)
+    milli = lambda c: F.floor(F.col(c) * 1000 + 0.3137).cast("long").alias(f"{c}_milli")
+    return totals.select("aufnr", "matnr", "charg", "meins", milli("qty"), milli("amt"))
 
 
 @query

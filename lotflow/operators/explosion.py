@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lotflow.functions.ids import row_id
 from lotflow.functions.scalars import BLANK, signed, wip_factor
 from lotflow.operators.closure import coefficients, longest_paths
-from lotflow.operators.orders import endless_orders
+from lotflow.operators.orders import CYCLIC, endless_orders
 from lotflow.operators.scan import scattered
 from lotflow.session import materialize
 
@@ -264,15 +264,17 @@ def explode_orders(
     ziebp023: DataFrame,
     stored: DataFrame | None,
     as_of: datetime,
+    only: DataFrame | None = None,
 ) -> Explosion:
-    """Explode all levelled orders.
+    """Explode all levelled orders; ``only`` names those that have state B, if postings of others need not be read.
 
     Rows climb from producers to consumers one level per step: each step joins
     only the rows the step before made, so every row of the result is made once.
     Rows of an order that starts over are dropped; those of untouched orders stay
     and can be inherited.
     """
-    split = materialize(split_consumption(aufm, first_receipt, producers(aufm, afpo)), "split")
+    posted = aufm if only is None else aufm.join(only, "aufnr", "left_semi")
+    split = materialize(split_consumption(posted, first_receipt, producers(aufm, afpo)), "split")
     wip = wip_postings(split)
     state = readiness(orders, wip)
     wip = wip.join(state.ready, "aufnr", "left_semi")
@@ -305,6 +307,70 @@ def explode_orders(
     return Explosion(made, settle_orders(orders, state, as_of))
 
 
+def changed_orders(before: DataFrame, after: DataFrame, index_changes: DataFrame | None = None) -> DataFrame:
+    """Orders whose postings differ between two states of the postings, or that post a batch whose first receipt changed."""
+
+    def summed(rows: DataFrame) -> DataFrame:
+        h = F.xxhash64(*[F.struct(c) for c in sorted(before.columns)])
+        return rows.groupBy("aufnr").agg(F.struct(F.count(F.lit(1)), F.sum(h.cast("decimal(38,0)")), F.bit_xor(h)).alias("all"))
+
+    both = summed(before).withColumnRenamed("all", "was").join(summed(after), "aufnr", "full")
+    found = both.where(~F.col("was").eqNullSafe(F.col("all"))).select("aufnr")
+    if index_changes is not None:
+        batches = index_changes.select("matnr", "charg").distinct()
+        found = found.unionByName(after.join(batches, ["matnr", "charg"], "left_semi").select("aufnr"))
+    return found.distinct()
+
+
+@dataclass
+class Delta:
+    """``redone``: orders exploded again. ``rows``: their rows, which replace the stored ones. ``orders``: the order table after it."""
+
+    redone: DataFrame
+    rows: DataFrame
+    orders: DataFrame
+
+
+def reexplode_orders(
+    orders: DataFrame,
+    changed: DataFrame,
+    aufm: DataFrame,
+    first_receipt: DataFrame,
+    afpo: DataFrame,
+    ziebp023: DataFrame,
+    stored: DataFrame,
+    as_of: datetime,
+) -> Delta:
+    """Explode again what ``changed`` orders change: these and all orders above them.
+
+    ``orders`` and ``stored`` are those of the last explosion. Consumers are known
+    from its rows, those of orders in error from their postings. Orders that are
+    not above a changed one keep rows, state and stamp. Orders on a cycle stay in
+    error; where new postings may close one, level the orders first.
+    """
+    cyclic = (F.col("xstat") == "E") & (F.col("remark") == CYCLIC)
+    failed = orders.where((F.col("xstat") == "E") & ~F.coalesce(cyclic, F.lit(False))).select("aufnr")
+    held = aufm.join(failed, "aufnr", "left_semi").where(F.col("rspos") != OUTPUT_ITEM)
+    made = first_receipt.select("matnr", "charg", F.col("aufnr").alias("waufnr"))
+    links = stored.where((F.col("wip") == "W") & (F.col("waufnr") != MARKER)).select("aufnr", "waufnr")
+    links = links.unionByName(held.join(made, ["matnr", "charg"]).select("aufnr", "waufnr")).distinct()
+    redone = _walked_consumers(materialize(changed.select("aufnr").distinct(), "changed"), materialize(links, "links"))
+    redone = materialize(redone.join(orders.where(F.col("xstat").isin("X", "E", "B") & ~F.coalesce(cyclic, F.lit(False))), "aufnr", "left_semi"), "redone")
+    # the others keep state and rows; those in error count as not done
+    again = orders.join(redone.withColumn("_again", F.lit(True)), "aufnr", "left")
+    again = again.withColumn("xstat", F.when(F.col("_again"), "B").otherwise(F.col("xstat"))).drop("_again")
+    kept = stored.join(redone, "aufnr", "left_anti")
+    # inherited rows come from producers that are not done again; all others of their rows are left where they are
+    result = explode_orders(again, aufm, first_receipt, afpo, ziebp023, kept, as_of, only=redone)
+    after = result.orders.join(redone, "aufnr", "left_semi").unionByName(orders.select(*result.orders.columns).join(redone, "aufnr", "left_anti"))
+    return Delta(redone, result.rows.join(redone, "aufnr", "left_semi").select(*ROW_COLUMNS), after)
+
+
+def apply_delta(stored: DataFrame, delta: Delta) -> DataFrame:
+    """The stored rows with those of the redone orders replaced."""
+    return stored.join(delta.redone, "aufnr", "left_anti").unionByName(delta.rows).select(*ROW_COLUMNS)
+
+
 def settle_orders(orders: DataFrame, state: Readiness, as_of: datetime) -> DataFrame:
     """Final states: X for exploded orders, E with a remark for blocked and cyclic ones, all stamped."""
     processed = F.col("xstat") == "B"
