@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.bindings.tables import EXTRACTED, driver_table, view
+from lotflow.bindings.tables import EXTRACTED, SNAPSHOT_DAYS, driver_table, view
 from lotflow.functions import scalars as S
-from lotflow.operators import allocation, explosion, monthend, orders, receipts, report
+from lotflow.operators import allocation, explosion, history, monthend, orders, receipts, report
 from lotflow.operators.routes import Routes, candidate_sources
 from lotflow.operators.routes import sourcing_routes as routes_of
 from lotflow.plans import jobs
@@ -222,6 +223,55 @@ def snapshot_rotation(t: Tables) -> DataFrame:
     )
 
 
+def _stock_of(t: Tables, day: str, *keys: str) -> DataFrame:
+    """Stock per key as it was on a day."""
+    since = f"{int(day[:4]) - 2}{day[4:]}"
+    held = t["mchbx"].where((F.col("budat") <= day) & (F.col("budat") > since))
+    return held.groupBy(*keys).agg(F.sum("bal_qty").cast("decimal(20,3)").alias("qty"))
+
+
+def _intervals(t: Tables, *keys: str) -> DataFrame:
+    """The snapshots of all days merged in order, the last one twice: first without what came late."""
+    none = _stock_of(t, SNAPSHOT_DAYS[0], *keys).limit(0)
+    bounds = {"copies": F.lit(0).cast("long"), "valid_from": F.lit("").cast("string"), "valid_to": F.lit(None).cast("string")}
+    running = ended = none.withColumns(bounds)
+    last = SNAPSHOT_DAYS[-1]
+    days = [(day, _stock_of(t, day, *keys)) for day in SNAPSHOT_DAYS]
+    days.insert(-1, (last, _stock_of(t, SNAPSHOT_DAYS[1], *keys)))
+    for day, rows in days:
+        running, over = history.merge_day(running, ended, rows, day)
+        running, over = materialize(running, "running"), materialize(over, "over")
+        ended = ended.where(~F.col("valid_to").eqNullSafe(F.lit(day))).unionByName(over)
+    return running.unionByName(ended)
+
+
+@query
+def stock_history(t: Tables) -> DataFrame:
+    """Every day's stock from the intervals of all days."""
+    intervals = _intervals(t, "matnr", "werks", "lgort")
+    days = [history.as_of(intervals, day).withColumn("day", F.lit(day)) for day in SNAPSHOT_DAYS]
+    return reduce(DataFrame.unionByName, days)
+
+
+@query
+def stock_as_of(t: Tables) -> DataFrame:
+    """Stock of the material when its demand is due, by the last snapshot before."""
+    lines = t.demand.select("uuid", "matnr", F.add_months(F.to_date("dat00", "yyyyMMdd"), 36).alias("due"))
+    lines = lines.select("uuid", "matnr", F.date_format("due", "yyyyMMdd").alias("due"))
+    return history.as_of_join(lines, _intervals(t, "matnr"), ["matnr"], "due")
+
+
+@query
+def reallocate(t: Tables) -> DataFrame:
+    """Pairs after some materials got more stock and others new demand, from the run before."""
+    few = F.crc32(F.col("matnr").cast("binary")) % 9
+    lots = t["mchbx"].withColumn("bal_qty", F.when(few == 0, F.lit(1)).otherwise(F.col("bal_qty")).cast("decimal(13,3)"))
+    demand = t.demand.where((few != 1) | (F.col("dat00") < "19930101"))
+    pairs = materialize(allocation.waterfall_allocate(lots, demand).pairs, "pairs")
+    before = allocation.Before(lots, demand, pairs)
+    return allocation.allocation_pairs(allocation.reallocate(before, t["mchbx"], t.demand).pairs)
+
+
 @query
 def stock_lots_channel(t: Tables) -> DataFrame:
     return t.lots.select("uuid", "matnr", "werks", "charg", "lgort", "budat", "bal_qty", "vtweg")
@@ -423,6 +473,19 @@ def run_month_end(t: Tables) -> DataFrame:
     return jobs.run_month_end(t.spark, path, source)
 
 
+@query
+def month_end_slices(t: Tables) -> DataFrame:
+    """All billing lines in the files after the month-end job has changed slices and queue in one commit."""
+    path = scratch_path(t.spark, "work")
+    source = {name: t[name] for name in ("ce13058", "vbrp", "aufk", "jest")}
+    tables.replace_slices(t["ke30x_prior"], f"{path}/ke30x", monthend.SLICE)
+    t["aufkx"].write.parquet(f"{path}/aufkx")
+    t.mch1x.write.parquet(f"{path}/mch1x")
+    tables.adopt(t.spark, path, ["ke30x", "aufkx"])
+    jobs.run_month_end(t.spark, path, source)
+    return tables.read_work(t.spark, path, "ke30x").select(*monthend.TRACE_COLUMNS)
+
+
 # ---- order explosion ----
 
 

@@ -16,6 +16,10 @@ PLANTS = ("101A", "111A", "112A", "281A", "282A", "381A", "382A", "481A", "482A"
 LOCATIONS = ("RM01", "RM04", "L106", "PHDT", "LD01", "FGR1", "RM02")
 
 
+#: Days of stock snapshots, each of the lots that came in the two years before.
+SNAPSHOT_DAYS = ("19960701", "19961001", "19970601", "19980601")
+
+
 def _pick(number: str, values: tuple[str, ...], otherwise: str = "' '") -> str:
     whens = " ".join(f"when {i} then '{v}'" for i, v in enumerate(values))
     return f"case {number} {whens} else {otherwise} end"

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, replace
+from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -286,6 +288,68 @@ def waterfall_allocate(
     return Allocation(pairs, unrouted_demand(demand, routes))
 
 
+LOT_STATE = ["matnr", "uuid", "werks", "lgort", "charg", "budat", "bal_qty"]
+DEMAND_STATE = ["matnr", "uuid", "werks", "bal_qty"]  # the id stands for all columns of a line
+
+
+class Before(NamedTuple):
+    """An earlier run: its lots and demand as they were before it, and its pairs."""
+
+    lots: DataFrame
+    demand: DataFrame
+    pairs: DataFrame
+
+
+def before_allocation(lots: DataFrame, demand: DataFrame, pairs: DataFrame) -> Before:
+    """An earlier run from its stored balances and pairs: what was allocated is given back."""
+    pairs = pairs.select(F.col("stk_mchb_id").alias("lot_id"), F.col("stk_mrp_id").alias("demand_id"), "alc_qty")
+    back = pairs.withColumn("alc_qty", -F.col("alc_qty"))
+    return Before(_settle(lots, back, "lot_id"), _settle(demand, back, "demand_id"), pairs)
+
+
+def dirty_materials(before: Before, lots: DataFrame, demand: DataFrame) -> DataFrame:
+    """Materials whose lots or demand differ between two states.
+
+    Per material and state the rows are counted and two hashes of each are added
+    up, so one row per task, material and state is shuffled. Sums of different
+    rows agree with a chance of some 2 ** -128.
+    """
+
+    def marks(rows: DataFrame, columns: list[str], side: str) -> DataFrame:
+        state = [F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns]
+        hashes = [F.xxhash64(F.lit(seed), *state).cast("decimal(20,0)").alias(f"h{seed}") for seed in (1, 2)]
+        return rows.select("matnr", F.lit(side).alias("side"), *hashes)
+
+    rows = [
+        marks(before.lots, LOT_STATE, "lots"), marks(before.demand, DEMAND_STATE, "demand"),
+        marks(lots, LOT_STATE, "lots").select("matnr", "side", (-F.col("h1")).alias("h1"), (-F.col("h2")).alias("h2")),
+        marks(demand, DEMAND_STATE, "demand").select("matnr", "side", (-F.col("h1")).alias("h1"), (-F.col("h2")).alias("h2")),
+    ]
+    all_rows = reduce(DataFrame.unionByName, rows)
+    sums = all_rows.groupBy("matnr", "side").agg(F.sum("h1").alias("h1"), F.sum("h2").alias("h2"))
+    return sums.where((F.col("h1") != 0) | (F.col("h2") != 0)).select("matnr").distinct()
+
+
+def reallocate(
+    before: Before,
+    lots: DataFrame,
+    demand: DataFrame,
+    routes: Routes | None = None,
+    min_hot_rows: int | None = None,
+) -> Allocation:
+    """``waterfall_allocate`` of the new state, from an earlier one: only materials that differ are allocated again.
+
+    Materials do not share lots, so the pairs of all others stay. Only rows of
+    materials that differ are sorted, folded and matched.
+    """
+    dirty = materialize(dirty_materials(before, lots, demand), "dirty")
+    changed = [rows.join(dirty, "matnr", "left_semi") for rows in (lots, demand)]
+    redone = waterfall_allocate(*changed, routes, min_hot_rows)
+    gone = before.lots.join(dirty, "matnr", "left_semi").select(F.col("uuid").alias("lot_id"))
+    kept = before.pairs.join(gone, "lot_id", "left_anti")
+    return Allocation(kept.unionByName(redone.pairs), unrouted_demand(demand, routes))
+
+
 def _hot_buckets(needs, facts, supply, routes, min_hot_rows) -> HotKeys:
     """Buckets with many lots and draws; a phase draws at most once per line and bucket."""
     longest = max(len(sources) for sources in routes.sources.values())

@@ -12,7 +12,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.operators import allocation, explosion, monthend, orders, receipts, report
+from lotflow.operators import allocation, explosion, history, monthend, orders, receipts, report
 from lotflow.session import materialize
 from lotflow.sources import tables
 
@@ -42,10 +42,11 @@ def run_receipt_corrections(spark: SparkSession, work: str, arrived: DataFrame)
     index, so a row that was replaced needs no deletion, and a load that is
     repeated after a failure appends nothing.
     """
-    stored = receipts.ordered_receipts(tables.read_work(spark, work, "mch1x_log"))
+    seen = tables.version(spark, work)
+    stored = receipts.ordered_receipts(tables.read_work(spark, work, "mch1x_log", seen))
     changes = materialize(receipts.receipt_changes(stored, arrived), "changes")
     new = changes.where(F.col("change") == "+").select(*receipts.ORDERED_COLUMNS)
-    new.write.mode("append").parquet(tables.current_path(spark, work, "mch1x_log"))
+    tables.commit(spark, work, seen, append={"mch1x_log": new})
     return changes
 
 
@@ -55,19 +56,30 @@ def corrected_index(spark: SparkSession, work: str) -> DataFrame:
 
 
 def compact_receipts(spark: SparkSession, work: str) -> None:
-    """Rewrite the log of first receipts to one row per batch; not beside a running load."""
-    tables.publish(spark, work, {"mch1x_log": receipts.ordered_receipts(tables.read_work(spark, work, "mch1x_log"))})
+    """Rewrite the log of first receipts to one row per batch; a load that commits meanwhile makes this fail."""
+    seen = tables.version(spark, work)
+    log = receipts.ordered_receipts(tables.read_work(spark, work, "mch1x_log", seen))
+    tables.publish(spark, work, {"mch1x_log": log}, seen)
 
 
 def run_allocation(
-    spark: SparkSession, work: str, erp: dict[str, DataFrame], as_of: datetime
+    spark: SparkSession, work: str, erp: dict[str, DataFrame], as_of: datetime, since: str | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Allocate stock to demand; stores lots, demand, pairs and the demand without a route under the run date."""
+    """Allocate stock to demand; stores lots, demand, pairs and the demand without a route under the run date.
+
+    With ``since``, the date of an earlier run, only materials whose lots or
+    demand differ from it are allocated; the others keep that run's pairs.
+    """
     run_date = as_of.strftime("%Y%m%d")
     index = tables.read_work(spark, work, "mch1x")
     lots = materialize(allocation.stock_lots(erp["mchbx"], index, erp["mseg"]), "lots")
     demand = materialize(allocation.demand_lines(erp["zsd0012"]), "demand")
-    result = allocation.waterfall_allocate(lots, demand)
+    if since is None:
+        result = allocation.waterfall_allocate(lots, demand)
+    else:
+        names = ("stk_mchb", "stk_mrp", "stk_aloc")
+        before = [tables.current_snapshot(spark, f"{work}/{name}", since) for name in names]
+        result = allocation.reallocate(allocation.before_allocation(*before), lots, demand)
     pairs = materialize(result.pairs, "pairs")
     results = {
         "stk_mchb": allocation.lot_balances(lots, pairs),
@@ -81,6 +93,31 @@ def run_allocation(
     return stored[0], stored[1], stored[2]
 
 
+def run_history(spark: SparkSession, work: str, run_date: str) -> DataFrame:
+    """Merge the lots of a run into their intervals; returns all intervals.
+
+    The days have to come in order; the last one may come again. Unchanged lots
+    are stored once. Open intervals and those that end on the day change in one
+    commit.
+    """
+    seen = tables.version(spark, work)
+    running = tables.read_work(spark, work, "stk_mchb_open", seen)
+    ended = tables.read_work(spark, work, "stk_mchb_ended", seen)
+    day = tables.current_snapshot(spark, f"{work}/stk_mchb", run_date).drop("created_at")
+    now, over = history.merge_day(running, ended, day, run_date)
+    now, over = materialize(now, "open"), materialize(over, "ended")
+    this_day = spark.range(1).select(F.lit(run_date).alias("valid_to"))
+    tables.commit(
+        spark, work, seen, replace={"stk_mchb_open": now}, slices={"stk_mchb_ended": (["valid_to"], over, this_day)}
+    )
+    return lot_history(spark, work)
+
+
+def lot_history(spark: SparkSession, work: str) -> DataFrame:
+    """All intervals of the lots, for ``history.as_of`` and ``history.as_of_join``."""
+    return tables.read_work(spark, work, "stk_mchb_open").unionByName(tables.read_work(spark, work, "stk_mchb_ended"))
+
+
 def run_stock(spark: SparkSession, work: str, erp: dict[str, DataFrame], as_of: datetime) -> DataFrame:
     """Allocation, report, and the append to the idle worklist; returns the report."""
     run_date = as_of.strftime("%Y%m%d")
@@ -104,10 +141,14 @@ def run_month_end(
     """Trace the billing lines of unreleased slices and queue the orders behind them.
 
     With ``channel`` and ``period`` this is one slice; without them, every slice
-    that is not released. Returns the queued orders.
+    that is not released. Where the folder has commits (``tables.adopt``, or an
+    explosion), slices and queue change in one commit: a failure leaves both as
+    they were, and a run that another one overtook raises ``tables.Conflict``.
+    Plain folders are written one after the other. Returns the queued orders.
     """
-    stored = tables.read_work(spark, work, "ke30x")
-    tracked = tables.read_work(spark, work, "aufkx")
+    seen = tables.version(spark, work)
+    stored = tables.read_work(spark, work, "ke30x", seen)
+    tracked = tables.read_work(spark, work, "aufkx", seen)
     if channel is not None and period is not None and monthend.period_released(stored, channel, period):
         return tracked.limit(0)
     released = materialize(monthend.released_slices(stored), "released")
@@ -117,25 +158,29 @@ def run_month_end(
     trace = materialize(monthend.billing_trace(lines, erp["vbrp"], index, channel, period), "ke30x")
     # a slice with stored rows but no traced ones ends up empty
     redone = monthend.slices_of(stored, channel, period).join(released, monthend.SLICE, "left_anti")
-    gone = materialize(redone.join(monthend.slices_of(trace), monthend.SLICE, "left_anti"), "gone")
-    tables.clear_slices(gone, f"{work}/ke30x")
-    tables.replace_slices(trace, f"{work}/ke30x", monthend.SLICE)
-    queued = monthend.enqueue_orders(erp["aufk"], erp["jest"], tracked, trace)
-    queued = materialize(queued, "aufkx")
-    queued.write.mode("append").parquet(tables.current_path(spark, work, "aufkx"))
+    queued = materialize(monthend.enqueue_orders(erp["aufk"], erp["jest"], tracked, trace), "aufkx")
+    if seen:
+        slices = {"ke30x": (monthend.SLICE, trace, materialize(redone, "redone"))}
+        tables.commit(spark, work, seen, append={"aufkx": queued}, slices=slices)
+    else:
+        gone = materialize(redone.join(monthend.slices_of(trace), monthend.SLICE, "left_anti"), "gone")
+        tables.clear_slices(gone, f"{work}/ke30x")
+        tables.replace_slices(trace, f"{work}/ke30x", monthend.SLICE)
+        queued.write.mode("append").parquet(f"{work}/aufkx")
     return queued
 
 
 def run_explosion(spark: SparkSession, work: str, erp: dict[str, DataFrame], as_of: datetime) -> DataFrame:
     """Level all orders, explode them, store rows and orders; returns the orders."""
-    tracked = tables.read_work(spark, work, "aufkx")
-    index = tables.read_work(spark, work, "mch1x")
-    stored = tables.read_work(spark, work, "aufmx")
+    seen = tables.version(spark, work)
+    tracked = tables.read_work(spark, work, "aufkx", seen)
+    index = tables.read_work(spark, work, "mch1x", seen)
+    stored = tables.read_work(spark, work, "aufmx", seen)
     edges = orders.order_edges(erp["aufm"], erp["jest"], index)
     levelled = materialize(orders.level_orders(tracked, edges), "levelled")
     result = explosion.explode_orders(
         levelled, erp["aufm"], index, erp["afpo"], erp["ziebp023"], stored, as_of
     )
-    # rows and orders become current together
-    tables.publish(spark, work, {"aufmx": result.rows, "aufkx": result.orders})
+    # rows and orders become current together, unless orders were queued meanwhile
+    tables.publish(spark, work, {"aufmx": result.rows, "aufkx": result.orders}, seen)
     return tables.read_work(spark, work, "aufkx")
