@@ -66,102 +66,111 @@ def best_fit(sizes: np.ndarray, capacity: int) -> np.ndarray:
     return bins
 
 
-def local_search(sizes: np.ndarray, bins: np.ndarray, capacity: int, tries: int = 64) -> np.ndarray:
+def local_search(sizes: np.ndarray, bins: np.ndarray, capacity: int) -> np.ndarray:
     """Empty bins by exchanges that raise the sum of squared fills.
 
-    The emptiest bins are taken in turn, ``tries`` in a row without success end
-    the search. Each step takes the largest gain among moving a piece, exchanging
-    one for one, two for one and one for two; every step raises the sum of
-    squares, which is bounded, so it ends.
+    The emptiest underfull bin that has not failed is the source. Each step takes
+    the largest gain among moving a piece or two and exchanging one or two for
+    one, or else one for two. Every step raises the sum of squares, which is
+    bounded. All bins may be sources again after one was emptied, and after all
+    have failed with steps on the way. The search ends when the bins are as few
+    as the sum of sizes allows, or when no underfull bin has a step left.
     """
     bins = bins.copy()
     fill = np.bincount(bins, weights=sizes).astype(np.int64)
+    least = -(-int(sizes.sum()) // capacity)
     failed: set[int] = set()
-    while len(failed) < tries:
-        open_bins = [b for b in np.argsort(fill, kind="stable") if 0 < fill[b] < capacity and b not in failed]
-        if len(open_bins) < 2:
-            break
-        source = int(open_bins[0])
-        emptied = False
-        while not emptied:
-            step = _best_step(sizes, bins, fill, source, capacity)
-            if step is None:
+    stepped = False
+    while np.count_nonzero(fill) > least:
+        source = next((int(b) for b in np.argsort(fill, kind="stable") if 0 < fill[b] < capacity and b not in failed), None)
+        if source is None:
+            if not stepped:
                 break
+            failed.clear()
+            stepped = False
+            continue
+        failed.add(source)
+        pieces = _Pieces(sizes, bins, capacity)
+        while fill[source] and (step := _best_step(pieces, fill, source)):
             out, back, target = step
             bins[out], bins[back] = target, source
             moved = int(sizes[out].sum() - sizes[back].sum())
             fill[target] += moved
             fill[source] -= moved
-            emptied = fill[source] == 0
-        if not emptied:
-            failed.add(source)
+            pieces, stepped = _Pieces(sizes, bins, capacity), True
+        if not fill[source]:
+            failed.clear()
     return bins
 
 
-def _best_step(sizes, bins, fill, source: int, capacity: int):
+class _Pieces:
+    """Pieces in order of bin and size, with keys that are searched by bisection."""
+
+    def __init__(self, sizes: np.ndarray, bins: np.ndarray, capacity: int):
+        self.capacity, self.order = capacity, np.lexsort((sizes, bins))
+        self.bins, self.sizes = bins[self.order], sizes[self.order]
+        self.keys = self.bins * (capacity + 1) + self.sizes
+
+    def first(self, bins: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """Places of the smallest pieces of these bins that are not below these sizes; another bin's if there is none."""
+        return np.searchsorted(self.keys, bins * (self.capacity + 1) + sizes)
+
+
+def _outs(own: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Distinct sums of one or two of the own pieces, at most as many as the capacity, and pieces for each."""
+    one, at = np.unique(size, return_index=True)
+    first, second = np.triu_indices(len(own), 1)
+    two, place = np.unique(size[first] + size[second], return_index=True)
+    new = np.isin(two, one, invert=True)
+    pieces = [own[[i]] for i in at] + [own[[first[i], second[i]]] for i in place[new]]
+    return np.concatenate([one, two[new]]), pieces
+
+
+def _best_step(pieces: _Pieces, fill: np.ndarray, source: int):
     """The pieces that leave the source, those that come back, and the other bin; None if nothing raises the squares.
 
-    Moving ``d`` tokens from fill ``s`` to fill ``t`` raises them by ``2d(t - s + d)``.
+    Moving ``d`` tokens from fill ``s`` to fill ``t`` raises them by ``2d(t - s + d)``,
+    the more the larger ``d`` is, so each bin gives back the least that makes room.
     """
-    own = np.flatnonzero(bins == source)
-    others = np.flatnonzero(bins != source)
-    if not len(others):
+    begin, end = np.searchsorted(pieces.bins, [source, source + 1])
+    own, own_size = pieces.order[begin:end], pieces.sizes[begin:end]
+    targets = np.flatnonzero((fill > 0) & (fill < pieces.capacity))
+    targets = targets[targets != source]
+    if not len(targets):
         return None
-    own = own[np.argsort(-sizes[own], kind="stable")]
-    best, chosen = 0, None
-    other_bin, other_size = bins[others], sizes[others]
-    room = capacity - fill
-    room[source] = 0
-    targets = np.flatnonzero((room > 0) & (fill > 0))
-    other_room, other_fill = room[other_bin], fill[other_bin]
-    outs = [(i,) for i in own]
-    seen = set()
-    outs += [(a, b) for k, a in enumerate(own[:12]) for b in own[k + 1 : 12]]
-    for out in outs:
-        out = np.array(out)
-        size = int(sizes[out].sum())
-        if (len(out), size) in seen:
-            continue
-        seen.add((len(out), size))
-        fits = targets[room[targets] >= size]
-        if len(fits):
-            gain = 2 * size * (fill[fits] - fill[source] + size)
-            k = int(np.argmax(gain))
-            if gain[k] > best:
-                best, chosen = int(gain[k]), (out, np.array([], dtype=np.int64), int(fits[k]))
-        moved = size - other_size
-        ok = np.flatnonzero((moved > 0) & (moved <= other_room))
-        if len(ok):
-            gain = 2 * moved[ok] * (other_fill[ok] - fill[source] + moved[ok])
-            k = int(np.argmax(gain))
-            if gain[k] > best:
-                best, chosen = int(gain[k]), (out, others[ok[k : k + 1]], int(other_bin[ok[k]]))
-        if len(out) == 1 and chosen is None:
-            pair = _one_for_two(size, others, other_bin, other_size, room, fill, source)
-            if pair is not None:
-                gain, back, target = pair
-                if gain > best:
-                    best, chosen = gain, (out, back, target)
+    room, full, none = pieces.capacity - fill, fill - fill[source], np.zeros(0, np.int64)
+    sums, outs = _outs(own, own_size)
+    best, chosen, last = 0, None, len(pieces.keys) - 1
+    step = max(1, 1_000_000 // len(targets))
+    for a in range(0, len(sums), step):
+        size, over = sums[a : a + step, None], sums[a : a + step, None] - room[targets]
+        at = pieces.first(targets, np.maximum(over, 0))
+        back = np.where(over <= 0, 0, pieces.sizes[np.minimum(at, last)])
+        moved = size - back
+        right = (over <= 0) | (at <= last) & (pieces.bins[np.minimum(at, last)] == targets)
+        gain = np.where(right & (moved > 0), 2 * moved * (full[targets] + moved), 0)
+        k, t = divmod(int(np.argmax(gain)), len(targets))
+        if gain[k, t] > best:
+            best = int(gain[k, t])
+            chosen = outs[a + k], none if over[k, t] <= 0 else pieces.order[at[k, t : t + 1]], int(targets[t])
+    if chosen is not None:
+        return chosen
+    held = np.flatnonzero(np.isin(pieces.bins, targets))
+    bin_of, size_of = pieces.bins[held], pieces.sizes[held]
+    for size, piece in zip(sums, outs):
+        if len(piece) > 1:
+            break
+        at = np.maximum(pieces.first(bin_of, np.maximum(size - room[bin_of] - size_of, 0)), held + 1)
+        other = np.minimum(at, last)
+        moved = size - size_of - pieces.sizes[other]
+        right = (at <= last) & (pieces.bins[other] == bin_of) & (moved > 0) & (moved <= room[bin_of])
+        gain = np.where(right, 2 * moved * (full[bin_of] + moved), 0)
+        k = int(np.argmax(gain))
+        if gain[k] > best:
+            best, chosen = int(gain[k]), (piece, pieces.order[[held[k], at[k]]], int(bin_of[k]))
     return chosen
 
 
-def _one_for_two(size: int, others, other_bin, other_size, room, fill, source: int):
-    """The best pair of pieces of one bin to take back for a piece of ``size``."""
-    order = np.lexsort((other_size, other_bin))
-    b, s, i = other_bin[order], other_size[order], others[order]
-    best, found = 0, None
-    for gap in (1, 2, 3):  # neighbours in size order of their bin
-        same = b[:-gap] == b[gap:]
-        moved = size - s[:-gap] - s[gap:]
-        ok = np.flatnonzero(same & (moved > 0) & (moved <= room[b[:-gap]]))
-        if len(ok):
-            gain = 2 * moved[ok] * (fill[b[ok]] - fill[source] + moved[ok])
-            k = int(np.argmax(gain))
-            if gain[k] > best:
-                best, found = int(gain[k]), (int(gain[k]), i[[ok[k], ok[k] + gap]], int(b[ok[k]]))
-    return found
-
-
 def pack_group(sizes: np.ndarray, capacity: int) -> np.ndarray:
     """Bins of one group's pieces, numbered from 0 without gaps."""
     bins = local_search(sizes, best_fit(sizes, capacity), capacity)

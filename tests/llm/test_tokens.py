@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+import itertools
 import random
 import zlib
 from collections import defaultdict
@@ -9,7 +11,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from samples import ODD, SF, sorted_rows
-from lotflow.llm.packing import best_fit, local_search, op3_packing, pack_documents, pack_group
+from lotflow.llm.packing import _best_step, _Pieces, best_fit, local_search, op3_packing, pack_documents, pack_group
 from lotflow.llm.token_counts import count_tokens, op2_token_counts
 from lotflow.llm.tokens import Encoder, public
 
@@ -110,3 +112,45 @@ def test_local_search_empties_bins_that_best_fit_leaves():
         before, after = before + len(set(first)), after + len(set(bins))
     assert after < before
     assert len(pack_group(np.zeros(0, np.int64), 10)) == 0
+
+
+def exchange_left(sizes, bins, capacity):
+    """Whether any exchange of one or two pieces for none, one or two would raise the squares."""
+    fill = np.bincount(bins, weights=sizes).astype(int)
+    underfull = [b for b in range(len(fill)) if 0 < fill[b] < capacity]
+    for s, t in itertools.permutations(underfull, 2):
+        for n_out, n_back in ((1, 0), (2, 0), (1, 1), (2, 1), (1, 2)):
+            for out in itertools.combinations(np.flatnonzero(bins == s), n_out):
+                for back in itertools.combinations(np.flatnonzero(bins == t), n_back):
+                    d = sizes[list(out)].sum() - sizes[list(back)].sum()
+                    if 0 < d <= capacity - fill[t] and fill[t] - fill[s] + d > 0:
+                        return True
+    return False
+
+
+def test_a_bin_that_stays_has_no_exchange_left():
+    rng, searched = np.random.Generator(np.random.PCG64(2)), 0
+    for _ in range(60):
+        sizes = rng.integers(*((5, 50), (30, 60))[_ % 2], 24)
+        bins = np.zeros(24, np.int64) if rng.random() < 0.1 else best_fit(sizes, 100)
+        if np.bincount(bins, weights=sizes).max() > 100:
+            continue
+        last = local_search(sizes, bins, 100)
+        fill = np.bincount(last, weights=sizes)
+        assert fill.max() <= 100
+        if np.count_nonzero(fill) > -(-sizes.sum() // 100):
+            searched += 1
+            assert _best_step(_Pieces(sizes, last, 100), fill.astype(np.int64), int(np.flatnonzero(fill == fill[fill > 0].min())[0])) is None
+    assert searched
+
+
+def test_a_step_is_found_wherever_there_is_one():
+    rng, found = np.random.Generator(np.random.PCG64(3)), set()
+    for _ in range(60):
+        sizes, bins = rng.integers(5, 60, 9), rng.integers(0, 3, 9)
+        fill = np.bincount(bins, weights=sizes, minlength=3).astype(np.int64)
+        capacity = int(fill.max()) + int(rng.integers(0, 8))
+        steps = [_best_step(_Pieces(sizes, bins, capacity), fill, b) for b in range(3) if 0 < fill[b] < capacity]
+        assert any(s is not None for s in steps) == exchange_left(sizes, bins, capacity)
+        found.add(any(s is not None for s in steps))
+    assert found == {True, False}
