@@ -45,7 +45,11 @@ def host(url: str | None) -> str:
 
 def choose(single: dict[str, int], chars: dict[str, int]) -> str:
     """The slot of the running text among elements that occur once a page; ``chars`` by path of the blocks."""
-    held = {p: sum(n for q, n in chars.items() if q == p or q.startswith(p + "/")) for p in single}
+    held = Counter({p: 0 for p in single})
+    for path, n in chars.items():
+        while path:
+            held[path] += n
+            path = path.rpartition("/")[0]
     for tag in ("article", "main"):
         named = [p for p in single if re.match(rf"{tag}\b", p.rpartition("/")[2])]
         if named:

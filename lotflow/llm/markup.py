@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterator
 from html import unescape
@@ -24,7 +25,13 @@ ROLES = frozenset("alert banner complementary contentinfo dialog form menu menub
 _CLOSED_BY_BLOCK = frozenset(("p", "h1", "h2", "h3", "h4", "h5", "h6"))
 _SELF_CLOSING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"), "th": ("td", "th"), "option": ("option",)}
 
-_MARK = re.compile(r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^"'>]|"[^"]*"|'[^']*')*)>""", re.S)
+#: Levels of elements that a path names; what lies deeper has the path of the last of them.
+LEVELS = 200
+
+_NOTE = re.compile(r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*>", re.S)
+_TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^"'>]|"[^"]*"|'[^']*')*+)>""")
+_SPECIAL = re.compile(r"""["'>]""")
+_NAME_END = re.compile(r"[\s/>]")
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 _NAME = re.compile(r"[a-z]+")
 
@@ -98,17 +105,58 @@ def read(html: str) -> list[Element | Block]:
         spared |= {around}
 
 
+class _Marks:
+    """Tags, comments and declarations of a page, in time linear in its length whatever is left open in it."""
+
+    def __init__(self, html: str):
+        self.html, self.last, self.ends = html, html.rfind(">"), None
+
+    def next(self, at: int) -> re.Match | None:
+        """The first mark from ``at`` on; a ``<`` that begins none is text."""
+        while (at := self.html.find("<", at)) >= 0:
+            head = self.html[at + 1 : at + 4]
+            if head[:1] in ("!", "?"):
+                if head == "!--" or at < self.last:
+                    return _NOTE.match(self.html, at)
+            elif at < self.last and head.removeprefix("/")[:1].isalpha() and self._closed(at):
+                mark = _TAG.match(self.html, at)
+                if mark:
+                    return mark
+                self.ends = self.ends or self._closings()
+            at += 1
+        return None
+
+    def _closed(self, at: int) -> bool:
+        """Whether a tag at ``at`` has its ``>`` outside of quotes; taken for granted until one had not."""
+        if self.ends is None:
+            return True
+        names, places, closed = self.ends
+        n = bisect_left(names, at + 2)
+        k = bisect_left(places, names[n]) if n < len(names) else len(places)
+        return k < len(places) and closed[k]
+
+    def _closings(self) -> tuple[list[int], list[int], list[bool]]:
+        """Where names may end; quotes and ``>`` of the page, and for each whether a tag that reaches it ends."""
+        places = [m.start() for m in _SPECIAL.finditer(self.html)]
+        closed, following = [False] * (len(places) + 1), {}
+        for k in range(len(places) - 1, -1, -1):
+            sign = self.html[places[k]]
+            closed[k] = sign == ">" or sign in following and closed[following[sign] + 1]
+            following[sign] = k
+        return [m.start() for m in _NAME_END.finditer(self.html)], places, closed
+
+
 def _read(html: str, spared: frozenset[int]) -> Iterator[Element | Block]:
-    stack, parts, at, number = [Element("", "", False)], [], 0, 0
+    stack, parts, at, number, marks, running = [Element("", "", False)], [], 0, 0, _Marks(html), Counter()
     while at <= len(html):
-        mark = _MARK.search(html, at)
+        mark = marks.next(at)
         text = html[at : mark.start() if mark else len(html)]
         if text:
             parts.append(unescape(text))
         if mark is None:
             break
         at = mark.end()
-        tag = (mark[2] or "").lower()
+        tag = mark[2].lower() if mark.re is _TAG else ""
         if not tag:
             continue
         if tag in INLINE or tag in RAW and mark[1]:
@@ -127,24 +175,28 @@ def _read(html: str, spared: frozenset[int]) -> Iterator[Element | Block]:
         if block:
             yield Block(stack[-1].path, block, stack[-1].outside, stack[-1].cause)
         if mark[1]:
-            if any(e.tag == tag for e in stack):
-                while stack.pop().tag != tag:
-                    pass
+            while running[tag] and (closed := stack.pop()):
+                running[closed.tag] -= 1
+                if closed.tag == tag:
+                    break
             continue
         ends = _SELF_CLOSING.get(tag)
         if ends and stack[-1].tag in (*ends, *_CLOSED_BY_BLOCK):
             while stack[-1].tag in _CLOSED_BY_BLOCK:
-                stack.pop()
+                running[stack.pop().tag] -= 1
             while stack[-1].tag in ends:
-                stack.pop()
+                running[stack.pop().tag] -= 1
         while stack[-1].tag in _CLOSED_BY_BLOCK:
-            stack.pop()
+            running[stack.pop().tag] -= 1
         number += 1
         element = _element(stack[-1], tag, mark[3], number, spared)
+        if len(stack) > LEVELS:
+            element = element._replace(path=stack[-1].path)
         if tag in VOID or mark[3].endswith("/") and tag not in ("p", "div", "article", "main", "section", "body", "html"):
             continue
         yield element
         stack.append(element)
+        running[tag] += 1
     block = " ".join("".join(parts).split())
     if block:
         yield Block(stack[-1].path, block, stack[-1].outside, stack[-1].cause)

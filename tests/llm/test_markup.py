@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import time
+
 import pytest
 
 from lotflow.llm.html_text import extract
+from lotflow.llm.markup import LEVELS, Block, read
 
 TEXT = "The river runs over the old stones and under the bridge of the town. " * 8
 
@@ -28,3 +31,33 @@ def test_what_holds_the_page_is_not_outside(around):
 def test_named_parts_beside_the_article_stay_outside():
     html = f'<html><body><article><p>{TEXT}</p></article><div class="related"><article><p>{TEXT * 30}</p></article></div><form>{TEXT}</form></body></html>'
     assert extract(html, None, []) == TEXT.strip()
+
+
+BROKEN = {
+    "open": "<a " * 340_000,
+    "double quotes": "<a \"" * 200_001 + "><p>end</p>",
+    "single quotes": "<a ' " * 200_001 + '"><p>end</p>',
+    "names": "<a" * 400_000 + ' "<p>end</p>',
+    "declarations": "<!x " * 250_000,
+    "signs": "<" * 1_000_000,
+    "nested": "<div>" * 150_000 + "end",
+    "closed": "<div>" * 50_000 + "</x>" * 100_000 + "end",
+}
+
+
+@pytest.mark.parametrize("html", BROKEN.values(), ids=BROKEN)
+def test_broken_markup_takes_linear_time(html):
+    started = time.process_time()
+    read(html)
+    assert time.process_time() - started < 20  # a few seconds; the time of a quadratic reader is hours
+
+
+def test_a_sign_that_begins_no_tag_is_text():
+    blocks = [b.text for b in read('<p>1 < 2 <b x="1>2">and</b> <a "open <i>so</i></p><p>it goes</p>') if isinstance(b, Block)]
+    assert blocks == ['1 < 2 and <a "open so', "it goes"]
+
+
+def test_text_below_the_levels_is_kept():
+    blocks = [b for b in read("<div>" * (LEVELS + 50) + "deep<p>er</p>") if isinstance(b, Block)]
+    assert [b.text for b in blocks] == ["deep", "er"]
+    assert all(b.path.count("/") == LEVELS for b in blocks)
