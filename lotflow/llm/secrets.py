@@ -167,7 +167,11 @@ def count_kind(spans: Column, kind: str) -> Column:
 
 
 def redact(docs: DataFrame, model: dict | None = None) -> DataFrame:
-    """The documents with every found span replaced by ``<kind>``; the others unchanged. ``n_chars`` follows the text."""
+    """The documents with every found span replaced by ``<kind>``; the others unchanged. ``n_chars`` follows the text.
+
+    Null and empty texts stay as they are, as do all other columns, whatever their
+    names; repeated rows each stay. An empty table gives no rows.
+    """
     found = scan(docs, model or fit(docs))
     # Spans that touch are replaced as one, by the kind of the first.
     merge = """aggregate(out.spans, named_struct('at', 0L, 'text', ''),
@@ -175,11 +179,11 @@ def redact(docs: DataFrame, model: dict | None = None) -> DataFrame:
             named_struct('at', x.end, 'text', concat(s.text, substring(row.text, cast(s.at + 1 AS int), cast(x.start - s.at AS int)), '<', x.kind, '>'))),
         s -> concat(s.text, substring(row.text, cast(s.at + 1 AS int), 2147483647)))"""
     text = F.when(F.size("out.spans") == 0, F.col("row.text")).otherwise(F.expr(merge))
-    clean = found.select("row.*", text.alias("_clean"), (F.size("out.spans") > 0).alias("_found"))
-    columns = {"text": F.col("_clean")}
+    columns = {"text": text}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.col("_found"), F.length("_clean").cast("long")).otherwise(F.col("n_chars"))
-    return clean.withColumns(columns).drop("_clean", "_found")
+        columns["n_chars"] = F.when(F.size("out.spans") == 0, F.col("row.n_chars")).otherwise(F.length(text).cast("long"))
+    given = [columns.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]
+    return found.select(*given)
 
 
 def op1_secrets(spark, sf_dir: str) -> DataFrame:

@@ -203,3 +203,15 @@ def test_slot_of_a_template_without_semantic_elements(spark):
     assert got.count() == len(rows) and by_id[10] == by_id[11] == ""
     assert by_id[12] == "Alone here\nmore" and by_id[13] == "A B\ntail"
     assert main_text(df.where("false")).count() == 0
+
+
+def test_redaction_keeps_all_columns_whatever_their_names(spark):
+    key = "AKIA" + "A1B2C3D4E5F6G7H8"
+    rows = [(1, f"see {key} and token=abcdefgh.", 9, "a", "b", "r", "o"), (2, None, None, None, None, None, None), (2, "", 0, "", "", "", ""), (2, "", 0, "", "", "", "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, _clean string, _found string, row string, out string")
+    model = {**secrets.fit(docs.limit(0)), "threshold": 2.0}
+    got = secrets.redact(docs, model)
+    assert got.columns == docs.columns and got.schema["n_chars"].dataType == docs.schema["n_chars"].dataType
+    clean = "see <access> and <assign>"
+    assert sorted_rows(got) == sorted([(1, clean, len(clean), "a", "b", "r", "o"), *rows[1:]], key=str)
+    assert secrets.redact(docs.limit(0), model).count() == 0
