@@ -5,7 +5,7 @@ from __future__ import annotations
 from lotflow.llm.decontaminate import op7_decontamination
 from lotflow.llm.html_text import op5_html_text
 from lotflow.llm.langid import op10_language_id
-from lotflow.llm.licenses import TEMPLATES, op8_licenses
+from lotflow.llm.licenses import op8_licenses, templates
 from lotflow.llm.manifest import LOWER, UPPER, op13_manifest
 from lotflow.llm.neardup import op4_near_duplicates
 from lotflow.llm.packing import op3_packing
@@ -75,23 +75,32 @@ SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = compone
 FROM v LEFT JOIN counts USING (rid) JOIN least USING (rid)
 """
 
-_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES)
+_ROWS = ", ".join(str(tuple(v.replace("\n", " ") if isinstance(v, str) else v for v in row)) for row in templates())
 OP8 = rf"""
 WITH docs AS (SELECT row_number() OVER () AS rid, doc_id, concat_ws('/', source, doc_id // 1000, doc_id // 100, doc_id) AS path,
        concat_ws('/', source, doc_id // 1000, doc_id // 100) AS folder, coalesce(text, '') AS text FROM documents),
 n AS (SELECT count(*) AS n FROM docs),
 freq AS (SELECT word, count(*) AS df FROM (SELECT DISTINCT rid, unnest(string_split_regex(lower(text), '[^a-z0-9]+')) AS word FROM docs) WHERE word <> '' GROUP BY 1),
-tw AS (SELECT license, word, count(*) AS tf FROM (SELECT license, unnest(string_split_regex(lower(statement), '[^a-z0-9]+')) AS word FROM (VALUES {_ROWS}) t(license, statement)) WHERE word <> '' GROUP BY 1, 2),
-tv AS (SELECT license, word, tf * (ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0) AS w FROM tw LEFT JOIN freq USING (word), n),
-tn AS (SELECT license, sqrt(sum(w * w)) AS norm FROM tv GROUP BY 1),
-segs AS (SELECT rid, generate_subscripts(s, 1) AS line, unnest(s) AS seg FROM (SELECT rid, string_split_regex(text, '[.!?][ \t\r\n]+|\n') AS s FROM docs)),
-sw AS (SELECT rid, line, length(seg) AS chars, word, count(*) AS tf FROM (SELECT rid, line, seg, unnest(string_split_regex(lower(seg), '[^a-z0-9]+')) AS word FROM segs) WHERE word <> '' GROUP BY ALL),
-sv AS (SELECT rid, line, chars, word, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w FROM sw JOIN freq USING (word), n),
-sn AS (SELECT rid, line, sqrt(sum(w * w)) AS norm FROM sv GROUP BY 1, 2),
-dots AS (SELECT rid, line, chars, license, sum(sv.w * tv.w) AS dot FROM sv JOIN tv USING (word) GROUP BY 1, 2, 3, 4),
-scored AS (SELECT rid, line, chars, license, round(dot / sn.norm / tn.norm, 6) AS score FROM dots JOIN sn USING (rid, line) JOIN tn USING (license)),
-best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid, line ORDER BY score DESC, license) AS r FROM scored WHERE score >= 0.7) WHERE r = 1),
-own AS (SELECT rid, array_to_string(list_sort(list_distinct(list(license))), ',') AS licenses, max(score) AS score, sum(chars) AS chars, arg_min(license, (-score, license)) AS license FROM best GROUP BY 1),
+given_rows AS (SELECT * FROM (VALUES {_ROWS}) t(id, license, slot, level, statement, must, within)),
+needs AS (SELECT id, license, slot, level, within, list_filter(string_split(must, ' '), lambda w: w <> '') AS must FROM given_rows),
+tw AS (SELECT id, word, count(*) AS tf FROM (SELECT id, unnest(string_split_regex(lower(statement), '[^a-z0-9]+')) AS word FROM given_rows) WHERE word <> '' GROUP BY 1, 2),
+tv AS (SELECT id, word, tf * (ln((1.0 + n) / (1.0 + coalesce(df, 0))) + 1.0) AS w FROM tw LEFT JOIN freq USING (word), n),
+tn AS (SELECT id, sqrt(sum(w * w)) AS norm FROM tv GROUP BY 1),
+cuts AS (SELECT rid, 0 AS level, string_split_regex(text, '[.!?][ \t\r\n]+|\n') AS s FROM docs
+         UNION ALL SELECT rid, 1, string_split_regex(text, '[.!?][ \t\r\n]+|\n[^A-Za-z0-9]*\n') FROM docs UNION ALL SELECT rid, 2, [text] FROM docs),
+segs AS (SELECT rid, level, generate_subscripts(s, 1) AS line, unnest(s) AS seg FROM cuts),
+sw AS (SELECT rid, level, line, length(seg) AS chars, word, count(*) AS tf FROM (SELECT rid, level, line, seg, unnest(string_split_regex(lower(seg), '[^a-z0-9]+')) AS word FROM segs) WHERE word <> '' GROUP BY ALL),
+sv AS (SELECT rid, level, line, chars, word, tf * (ln((1.0 + n) / (1.0 + df)) + 1.0) AS w FROM sw JOIN freq USING (word), n),
+sn AS (SELECT rid, level, line, sqrt(sum(w * w)) AS norm FROM sv GROUP BY 1, 2, 3),
+dots AS (SELECT rid, x.level, line, chars, id, sum(x.w * tv.w) AS dot, count(*) FILTER (list_contains(must, word)) AS held
+         FROM sv x JOIN tv USING (word) JOIN needs USING (id) WHERE x.level = needs.level GROUP BY 1, 2, 3, 4, 5),
+scored AS (SELECT rid, d.level, line, chars, license, slot, within, round(dot / sn.norm / tn.norm, 6) AS score
+           FROM dots d JOIN sn USING (rid, level, line) JOIN tn USING (id) JOIN needs USING (id) WHERE held = len(must)),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY rid, level, line, slot ORDER BY score DESC, license, within) AS r FROM scored WHERE score >= 0.7) WHERE r = 1),
+sized AS (SELECT rid, max(chars) AS chars FROM (SELECT rid, level, sum(chars) AS chars FROM (SELECT DISTINCT rid, level, line, chars FROM best) GROUP BY 1, 2) GROUP BY 1),
+named AS (SELECT rid, license, max(score) AS score, bool_or(within = '') AS alone, max(within) AS within FROM best GROUP BY 1, 2),
+meant AS (SELECT * FROM named a WHERE alone OR NOT EXISTS (SELECT 1 FROM named b WHERE b.rid = a.rid AND b.license = a.within)),
+own AS (SELECT rid, array_to_string(list_sort(list(license)), ',') AS licenses, max(score) AS score, chars, arg_min(license, (-score, license)) AS license FROM meant JOIN sized USING (rid) GROUP BY rid, chars),
 files AS (SELECT folder, path, license, o.score FROM docs JOIN own o USING (rid) WHERE 4 * chars >= length(text)),
 given AS (SELECT folder AS above, license AS given, path AS from_path FROM (SELECT *, row_number() OVER (PARTITION BY folder ORDER BY score DESC, path) AS r FROM files) WHERE r = 1),
 above AS (SELECT folder, depth, array_to_string(parts[1:depth], '/') AS above FROM (SELECT folder, string_split(folder, '/') AS parts, unnest(range(0, len(string_split(folder, '/')) + 1)) AS depth FROM (SELECT DISTINCT folder FROM docs))),
