@@ -193,9 +193,10 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text_col: str =
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
-    """The documents with a language, unchanged: those without text or letters go."""
+    """The documents with a language; those without text or letters go, and a missing ``lang`` becomes the predicted one."""
     prototypes = learn(docs.where(_part("doc_id") != 2))
-    return identify(docs, prototypes).where(F.col("out.lang_pred") != UNKNOWN).select("row.*")
+    found = identify(docs, prototypes).where(F.col("out.lang_pred") != UNKNOWN)
+    return found.select(F.col("row").withField("lang", F.coalesce("row.lang", "out.lang_pred")).alias("row")).select("row.*")
 
 
 def op10_language_id(spark, sf_dir: str) -> DataFrame:

@@ -2,10 +2,10 @@
 
 Method: texts with the same set of shingles form a class. Each class posts its
 MinHash coordinates; of those that other classes have too, it may lack all but
-``MATCH`` before it is no partner of anybody, so only its rarest ones (the prefix
+a few before it is no partner of anybody, so only its rarest ones (the prefix
 of the frequency order) are joined and its frequent ones are skipped. Pairs that
-meet there count their common coordinates; those with ``MATCH`` or more are
-compared on the full sets.
+meet there count their common coordinates; those with enough (``least_match``)
+are compared on the full sets.
 
 Only links between different texts matter for the groups. First every class is
 compared with a few centres of each of its lists, the likeliest first; then only
@@ -17,8 +17,10 @@ can reach the similarity before full sets are moved.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotflow.llm.common import map_arrow, table
@@ -26,11 +28,12 @@ from lotflow.llm.components import components
 from lotflow.llm.words import BLANK_CUT, mix, runs, word_chunks
 from lotflow.session import materialize
 
-#: Coordinates of a signature, and how many a pair must share: at a similarity of 0.8 fewer than 10 of 24 have a chance of 7e-6.
-COORDINATES, MATCH = 24, 10
-#: Bits of the sketch, and the share of equal ones that a pair must have: at a similarity of 0.8 it is 0.9 on average
-#: and less than this with a chance of 3e-5.
-BITS, EQUAL = 1024, 0.8615
+#: Coordinates of a signature, and the chance that a pair at the similarity asked for shares fewer than it must.
+COORDINATES, MATCH_LOSS = 24, 1e-5
+#: Bits of the sketch, and the chance that such a pair differs in more than it may.
+BITS, BITS_LOSS = 1024, 1e-6
+#: Classes of a list that are compared in one piece; longer lists are compared in pieces of about so many each.
+LIST = 4096
 #: Passes before the exact one; centres of a list in each, and the likeliest of its centres that a class is compared with.
 PASSES, CENTRES, FIRST = 1, 8, 3
 _RANDOM = np.random.Generator(np.random.PCG64(77))
@@ -40,6 +43,35 @@ _BIT_FACTOR = _RANDOM.integers(1, 1 << 63, BITS, dtype=np.uint64) | np.uint64(1)
 _BIT_SHIFT = _RANDOM.integers(1, 1 << 63, BITS, dtype=np.uint64)
 
 
+def _chances(n: int, p: float) -> list[float]:
+    """The chances of 0 to ``n`` hits."""
+    return [math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(n + 1)]
+
+
+def least_match(percent: int) -> int:
+    """Coordinates that a pair must share: 10 of 24 at 80, where fewer have a chance of 6.7e-6."""
+    lost, match = 0.0, 0
+    for chance in _chances(COORDINATES, percent / 100):
+        lost += chance
+        if lost >= MATCH_LOSS:
+            break
+        match += 1
+    if not match:
+        raise ValueError(f"a similarity of {percent} percent is too low for {COORDINATES} coordinates")
+    return match
+
+
+def most_unlike(percent: int) -> int:
+    """Sketch bits in which a pair may differ: 151 of 1,024 at 80, where more have a chance below 1e-6."""
+    lost, most = 0.0, BITS
+    for chance in reversed(_chances(BITS, (1 - percent / 100) / 2)):
+        lost += chance
+        if lost >= BITS_LOSS:
+            break
+        most -= 1
+    return most
+
+
 def shingle_sets(batch, name: str, size: int):
     """For each text of a batch its number among them and its sorted distinct shingle hashes."""
     for begin, hashes, bounds in word_chunks(batch.column(name), BLANK_CUT):
@@ -119,21 +151,20 @@ def _unlike(a: str, b: str):
 def _alike(percent: int, match: int):
     """Whether sizes and sketches allow the similarity and enough coordinates meet."""
     sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
-    equal = 2 * EQUAL - 1 + 2 * (1 - EQUAL) * (percent - 80) / 20 if percent > 80 else percent / 80 * (2 * EQUAL - 1)
-    bits = _unlike("wa", "wb") <= int(BITS * (1 - (1 + equal) / 2))
+    bits = _unlike("wa", "wb") <= most_unlike(percent)
     return sizes & bits & (F.size(F.array_intersect("ka", "kb")) >= match) & F.expr("ra <> rb")
 
 
-def _side(posted: DataFrame, x: str) -> DataFrame:
+def _side(posted: DataFrame, x: str, *more: Column) -> DataFrame:
     names = {"c": x, "n": f"n{x}", "keys": f"k{x}", "bits": f"w{x}", "root": f"r{x}"}
-    return posted.select("key", *(F.col(k).alias(v) for k, v in names.items()))
+    return posted.select("key", *more, *(F.col(k).alias(v) for k, v in names.items()))
 
 
 def unsettled(posted: DataFrame, roots: DataFrame) -> DataFrame:
-    """The postings of lists whose classes are not all connected, with the root of each class."""
+    """The postings of lists whose classes are not all connected, with the root of each class and the pieces of its list."""
     rooted = posted.join(roots, posted.c == roots.node, "left").withColumn("root", F.coalesce("root", "c")).drop("node")
-    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    return rooted.join(split, "key", "left_semi")
+    split = rooted.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.ceil(F.count("*") / LIST).cast("int").alias("pieces"))
+    return rooted.join(split.where("low < high").select("key", "pieces"), "key")
 
 
 def star_pairs(rooted: DataFrame, percent: int, match: int, turn: int = 0) -> DataFrame:
@@ -150,9 +181,20 @@ def star_pairs(rooted: DataFrame, percent: int, match: int, turn: int = 0) -> Da
 
 
 def open_pairs(rooted: DataFrame, percent: int, match: int) -> DataFrame:
-    """Classes that meet in a list and are not connected yet, each pair at the first key that both have."""
-    met = _side(rooted, "a").join(_side(rooted, "b"), "key").where("a < b").where(_alike(percent, match))
-    return met.where(F.array_intersect("ka", "kb")[0] == F.col("key")).select("a", "b", "na", "nb")
+    """Classes that meet in a list and are not connected yet, each pair at the first key that both have.
+
+    A long list is cut into pieces by a hash of the class; every two of its pieces
+    meet under a key of their own.
+    """
+    placed = rooted.withColumn("piece", F.pmod(F.xxhash64("c"), F.col("pieces")).cast("int"))
+    last = F.col("pieces") - 1
+    left = placed.withColumn("other", F.explode(F.sequence("piece", last)))
+    right = placed.withColumn("other", F.explode(F.sequence(F.lit(0), "piece")))
+    left = _side(left, "a", F.col("piece").alias("p"), F.col("other").alias("q"))
+    right = _side(right, "b", F.col("other").alias("p"), F.col("piece").alias("q"))
+    met = left.join(right, ["key", "p", "q"]).where("p < q OR a < b").where(_alike(percent, match))
+    met = met.where(F.array_intersect("ka", "kb")[0] == F.col("key"))
+    return met.select(F.expr("if(a < b, named_struct('a', a, 'b', b, 'na', na, 'nb', nb), named_struct('a', b, 'b', a, 'na', nb, 'nb', na))").alias("x")).select("x.*")
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
@@ -176,9 +218,11 @@ def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
 
         return step
 
-    wanted = classes.select("c", "rep", "d1", "d2")
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    found = texts.join(wanted.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("rep"))).select("c", "d1", "d2", "text")
+    # By id and hash of the text: one id, or none, may stand for many texts.
+    wanted = classes.select("c", F.col("kept.id").alias("rep"), F.col("kept.t").alias("rep_text"), "d1", "d2")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
+    same = (F.col("t") == F.col("rep_text")) & F.col("id").eqNullSafe(F.col("rep"))
+    found = texts.join(wanted.hint("shuffle_hash"), same).select("c", "d1", "d2", "text")
     sets = materialize(map_arrow(found, "c bigint, s array<bigint>, bits array<bigint>", make), "sets")
     rows, distinct = sets.agg(F.count("*"), F.countDistinct("c")).first()
     return sets if rows == distinct else materialize(sets.dropDuplicates(["c"]), "sets")
@@ -193,36 +237,35 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: str) -> DataFrame:
-    """``id, t, n`` of every row, ``component`` and the hash ``first`` of the text that is kept under it; both null outside of groups."""
+    """``id, t, n`` of every row; ``component`` and the hash ``first`` of the text that is kept under it.
+
+    ``first`` is null outside of groups. Rows with an id go before those without.
+    """
+    match = least_match(percent)
     rows = materialize(sketches(docs, id_col, text_col, size), "sketches")
-    named = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "t")))
-    classes = rows.where("n > 0").groupBy("d1", "d2", "n").agg(F.min("id").alias("rep"), named.alias("named"), F.count("*").alias("copies"), F.first("sig").alias("sig"))
+    kept = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "t")).alias("kept")
+    classes = rows.where("n > 0").groupBy("d1", "d2", "n").agg(kept, F.count("*").alias("copies"), F.first("sig").alias("sig"))
     # Numbered as written: classes of different texts may have one id, or none.
     classes = materialize(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
-    posted = materialize(postings(classes, MATCH), "postings")
+    posted = materialize(postings(classes, match), "postings")
     sets = class_sets(docs, classes.join(posted.select("c").distinct(), "c", "left_semi"), id_col, text_col, size)
     posted = materialize(posted.join(sets.select("c", "bits"), "c"), "postings")
     rooted, links, roots = posted.withColumn("root", F.col("c")), None, None
     for turn in range(PASSES + 1):
-        pairs = star_pairs(rooted, percent, MATCH, turn) if turn < PASSES else open_pairs(rooted, percent, MATCH)
+        pairs = star_pairs(rooted, percent, match, turn) if turn < PASSES else open_pairs(rooted, percent, match)
         found = materialize(confirm(pairs, sets, percent), "links")
         links = found if links is None else links.union(found)
         roots = materialize(components(links), "roots")
         if turn < PASSES:
             rooted = materialize(unsettled(posted, roots), "unsettled")
 
-    rooted = classes.join(roots, classes.c == roots.node, "left").select("d1", "d2", "n", "named", "copies", "root")
-    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("named").alias("least"))
-    grouped = rooted.where("root IS NOT NULL OR copies > 1").join(least, "root", "left").select("d1", "d2", "n", F.coalesce("least", "named").alias("kept"))
+    rooted = classes.join(roots, classes.c == roots.node, "left").select("d1", "d2", "n", "kept", "copies", "root")
+    least = rooted.where("root IS NOT NULL").groupBy("root").agg(F.min("kept").alias("least"))
+    grouped = rooted.where("root IS NOT NULL OR copies > 1").join(least, "root", "left").select("d1", "d2", "n", F.coalesce("least", "kept").alias("kept"))
     out = rows.select("id", "t", "n", "d1", "d2").join(grouped, ["d1", "d2", "n"], "left")
     return out.select("id", "t", "n", F.col("kept.id").alias("component"), F.col("kept.t").alias("first"))
 
 
-def _kept():
-    """Whether a row is the one of its group that is kept; null without an id."""
-    return (F.col("id") == F.coalesce("component", "id")) & (F.col("t") == F.coalesce("first", "t"))
-
-
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id, n_shingles, component_id, kept`` of every row.
 
@@ -235,18 +278,32 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80, id_col: s
     columns are left out. An empty table gives no rows.
     """
     out = _grouped(docs, size, percent, id_col, text_col)
-    kept = F.coalesce(_kept(), F.lit(False)).alias("kept")
+    first = (F.col("id") == F.coalesce("component", "id")) & (F.col("t") == F.coalesce("first", "t"))
+    kept = F.coalesce(first, F.lit(False)).alias("kept")
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"), kept)
 
 
 def keep_one(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
-    """The document with the smallest id of each group, unchanged; rows without an id stay, repeated ones together.
+    """One row of each group, unchanged: of those with the smallest id (an id goes before none) and one text, the least by hash.
 
-    Rows go by their id and text, so that another text with the id of a copy stays.
+    Rows that repeat with their text are a group, with an id or without; another
+    text with the id of a copy stays. Null and empty texts are in no group and
+    stay. Rows of one id and text with different other columns are chosen from by a
+    hash of these. An empty table gives no rows.
     """
-    gone = _grouped(docs, size, percent, "doc_id", "text").where("id IS NOT NULL").where(~_kept()).select(F.col("id").alias("gone"), F.col("t").alias("gone_text")).distinct()
-    same = (docs["doc_id"].cast("long") == gone["gone"]) & (F.xxhash64(docs["text"]) == gone["gone_text"])
-    return docs.join(gone, same, "left_anti")
+    keeps = F.col("id").eqNullSafe(F.col("component")) & (F.col("t") == F.col("first"))
+    fate = _grouped(docs, size, percent, "doc_id", "text").where("first IS NOT NULL")
+    fate = fate.groupBy(F.col("id").alias("fate_id"), F.col("t").alias("fate_text")).agg(F.max(keeps).alias("fate_kept"), F.count("*").alias("fate_rows"))
+    # Texts of which no row stays as it is read, or one of several.
+    fate = materialize(fate.where("NOT fate_kept OR fate_rows > 1"), "fate")
+    rows = docs.select(F.struct("*").alias("row"))
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("fate_id")) & (F.xxhash64("row.text") == F.col("fate_text"))
+    out = rows.join(fate, same, "left_anti")
+    again = fate.where("fate_kept")
+    if not again.isEmpty():
+        one = rows.join(again, same).groupBy("fate_id", "fate_text").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row"))
+        out = out.union(one.select("row"))
+    return out.select("row.*")
 
 
 def op4_near_duplicates(spark, sf_dir: str) -> DataFrame:

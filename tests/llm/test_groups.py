@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from samples import ODD, sorted_rows
+from lotflow.llm import neardup
 from lotflow.llm.components import components
 from lotflow.llm.decontaminate import drop_contaminated, find_contamination
 from lotflow.llm.neardup import keep_one, near_duplicates
@@ -35,9 +38,9 @@ def shingles(text, size):
     return {tuple(words[i : i + size]) for i in range(max(1, len(words) - size + 1))}
 
 
-def groups(docs, size):
+def groups(docs, size, percent=80):
     sets = [(i, shingles(t, size)) for i, t in docs]
-    links = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if a is not None and b is not None and x and 100 * len(x & y) >= 80 * len(x | y)]
+    links = [(a, b) for k, (a, x) in enumerate(sets) for b, y in sets[k + 1 :] if a is not None and b is not None and x and 100 * len(x & y) >= percent * len(x | y)]
     return roots_of(links, [i for i, _ in sets if i is not None]), dict(sets)
 
 
@@ -84,7 +87,8 @@ def test_near_duplicates_of_odd_rows(odd, none):
     assert want[8] == 7
     assert near_duplicates(none).count() == 0
     kept = keep_one(odd)
-    assert kept.columns == odd.columns and kept.count() == len(ODD) - 1
+    # One row of each group: of 5 its two rows and the one without an id, and of 7 and 8.
+    assert kept.columns == odd.columns and sorted_rows(kept, "doc_id") == [(i,) for i in range(1, 8)]
 
 
 def test_texts_with_one_id_are_apart(spark):
@@ -93,12 +97,52 @@ def test_texts_with_one_id_are_apart(spark):
     frame = spark.createDataFrame([(1, texts[0]), (2, texts[1]), (2, texts[3]), (1, texts[4]), (5, texts[5]), (None, texts[6])], "doc_id long, text string")
     for rows in (frame, frame.repartition(3)):
         assert sorted_rows(near_duplicates(rows, size=4), "doc_id", "component_id") == sorted([(1, 1), (2, 1), (2, 2), (1, 1), (5, 1), (None, 1)], key=str)
-        assert sorted(r.text for r in keep_one(rows, size=4).collect()) == sorted([texts[0], texts[3], texts[4], texts[6]])
+        assert sorted(r.text for r in keep_one(rows, size=4).collect()) == sorted([texts[0], texts[3], texts[4]])
     # Two texts of one group with its smallest id: one is kept.
     pair = spark.createDataFrame([(1, texts[0]), (1, texts[1]), (2, texts[2])], "doc_id long, text string")
     assert keep_one(pair, size=4).count() == 1 and near_duplicates(pair, size=4).where("kept").count() == 1
 
 
+def test_rows_without_ids_are_kept_once_a_group(spark):
+    text = lambda name, last: " ".join(f"{name}{i}" for i in range(60)) + f" {last}"
+    rows = [(None, text(f"n{i}", last), "en") for i in range(150) for last in ("x", "x", "y")] + [(7, text("n0", "z"), "de"), (7, text("n0", "z"), "en"), (7, text("m", "x"), "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    kept = [tuple(r) for r in keep_one(docs, size=4).collect()]
+    assert len(kept) == 151 and len({t.split()[0] for _, t, _ in kept}) == 151 and set(kept) <= set(rows)
+    assert [(i, t) for i, t, _ in kept if t.startswith("n00 ")] == [(7, text("n0", "z"))]
+    got = sorted_rows(near_duplicates(docs, size=4), "doc_id", "component_id")
+    assert got == sorted([(None, 7)] * 3 + [(None, None)] * 447 + [(7, 7)] * 3, key=str)
+    assert keep_one(docs.where("doc_id IS NULL AND text LIKE 'n10 %'"), size=4).count() == 1
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_long_lists_are_compared_in_pieces(spark, monkeypatch, percent):
+    """All pairs of a hot list against brute force, with pieces of a few classes and no pass before."""
+    monkeypatch.setattr(neardup, "LIST", 5)
+    monkeypatch.setattr(neardup, "FIRST", 0)
+    rng = np.random.default_rng(percent)
+    base = [f"w{i}" for i in range(120)]
+    docs = []
+    for i in range(80):
+        words = list(base)
+        for at in rng.choice(120, int(rng.integers(0, 9)), replace=False):
+            words[at] = f"x{rng.integers(1 << 30)}"
+        docs.append((i, " ".join(words)))
+    want, _ = groups(docs, 4, percent)
+    got = near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), size=4, percent=percent)
+    assert sorted_rows(got, "doc_id", "component_id") == sorted(want.items(), key=str)
+
+
+def test_filters_by_similarity():
+    assert neardup.least_match(80) == 10 and neardup.least_match(60) == 4
+    for percent in (50, 60, 80, 95):
+        p, c = (100 - percent) / 200, neardup.most_unlike(percent)
+        tail = sum(math.comb(1024, i) * p**i * (1 - p) ** (1024 - i) for i in range(c + 1, 1025))
+        assert tail < 1e-6 <= tail + math.comb(1024, c) * p**c * (1 - p) ** (1024 - c)
+    with pytest.raises(ValueError):
+        neardup.least_match(10)
+
+
 def test_vectors_with_one_id_are_apart(spark):
     rows = [(1, [1.0, 0.0, 0.0]), (1, [1.0, 0.1, 0.0]), (1, [0.0, 0.0, 1.0]), (2, [0.0, 0.1, 1.0]), (2, [0.0, 1.0, 0.0])]
     got = sorted_rows(link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "vec_id", "n_links", "component_id")
