@@ -10,7 +10,7 @@ are compared on the full sets.
 Only links between different texts matter for the groups. First every class is
 compared with a few centres of each of its lists, the likeliest first; then only
 classes of one list that are not yet connected are compared with each other,
-which is exact and leaves large groups of copies linear. One bit each of 1,024
+which is exact and leaves large groups of copies linear. One bit each of 2,048
 further MinHash values, kept for the classes that are posted, tells which pairs
 can reach the similarity before full sets are moved.
 """
@@ -31,7 +31,7 @@ from lotflow.session import materialize
 #: Coordinates of a signature, and the chance that a pair at the similarity asked for shares fewer than it must.
 COORDINATES, MATCH_LOSS = 24, 1e-5
 #: Bits of the sketch, and the chance that such a pair differs in more than it may.
-BITS, BITS_LOSS = 1024, 1e-6
+BITS, BITS_LOSS = 2048, 1e-6
 #: Classes of a list that are compared in one piece; longer lists are compared in pieces of about so many each.
 LIST = 4096
 #: Passes before the exact one; centres of a list in each, and the likeliest of its centres that a class is compared with.
@@ -45,7 +45,10 @@ _BIT_SHIFT = _RANDOM.integers(1, 1 << 63, BITS, dtype=np.uint64)
 
 def _chances(n: int, p: float) -> list[float]:
     """The chances of 0 to ``n`` hits."""
-    return [math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(n + 1)]
+    if p in (0, 1):
+        return [float(i == n * p) for i in range(n + 1)]
+    whole, hit, miss = math.lgamma(n + 1), math.log(p), math.log1p(-p)
+    return [math.exp(whole - math.lgamma(i + 1) - math.lgamma(n - i + 1) + i * hit + (n - i) * miss) for i in range(n + 1)]
 
 
 def least_match(percent: int) -> int:
@@ -62,7 +65,7 @@ def least_match(percent: int) -> int:
 
 
 def most_unlike(percent: int) -> int:
-    """Sketch bits in which a pair may differ: 151 of 1,024 at 80, where more have a chance below 1e-6."""
+    """Sketch bits in which a pair may differ: 272 of 2,048 at 80, where more have a chance below 1e-6."""
     lost, most = 0.0, BITS
     for chance in reversed(_chances(BITS, (1 - percent / 100) / 2)):
         lost += chance

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import random
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -135,10 +136,14 @@ def test_long_lists_are_compared_in_pieces(spark, monkeypatch, percent):
 
 def test_filters_by_similarity():
     assert neardup.least_match(80) == 10 and neardup.least_match(60) == 4
+    bits = neardup.BITS
     for percent in (50, 60, 80, 95):
-        p, c = (100 - percent) / 200, neardup.most_unlike(percent)
-        tail = sum(math.comb(1024, i) * p**i * (1 - p) ** (1024 - i) for i in range(c + 1, 1025))
-        assert tail < 1e-6 <= tail + math.comb(1024, c) * p**c * (1 - p) ** (1024 - c)
+        p, most = Fraction(100 - percent, 200), neardup.most_unlike(percent)
+        chance = lambda i: math.comb(bits, i) * p**i * (1 - p) ** (bits - i)  # noqa: E731, B023
+        # Terms fall off by more than a half from here on.
+        tail = sum(chance(i) for i in range(most + 1, most + 120))
+        assert tail < Fraction(1, 10**6) <= tail + chance(most)
+    assert neardup.most_unlike(100) == 0 and neardup.least_match(100) == 24
     with pytest.raises(ValueError):
         neardup.least_match(10)
 
