@@ -10,9 +10,12 @@ are compared on the full sets.
 Only links between different texts matter for the groups. First every class is
 compared with a few centres of each of its lists, the likeliest first; then only
 classes of one list that are not yet connected are compared with each other,
-which is exact and leaves large groups of copies linear. One bit each of 1,024
-further MinHash values, kept for the classes that are posted, tells which pairs
-can reach the similarity before full sets are moved.
+which is exact and leaves large groups of copies linear. Two sketches, kept for
+the classes that are posted, tell which pairs can reach the similarity before full
+sets are moved: the parities of 1,024 cells that the shingles fall into, and one
+bit each of 1,024 further MinHash values. Two sets differ in no more parities than
+shingles, so the first loses no pair; it is sharp for sets of some hundred shingles,
+the second for large ones.
 """
 
 from __future__ import annotations
@@ -113,6 +116,12 @@ def bit_sketch(shingles: np.ndarray) -> np.ndarray:
     return np.packbits((mix(least) & np.uint64(1)).astype(np.uint8)).view(np.int64)
 
 
+def odd_sketch(shingles: np.ndarray) -> np.ndarray:
+    """Whether each of BITS cells holds an odd number of shingles, in numbers of 64 bits."""
+    cells = mix(shingles ^ np.uint64(0x2545F4914F6CDD1D)) % np.uint64(BITS)
+    return np.packbits((np.bincount(cells.astype(np.int64), minlength=BITS) & 1).astype(np.uint8)).view(np.int64)
+
+
 SKETCH = "id bigint, t bigint, n bigint, d1 bigint, d2 bigint, sig array<int>"
 
 
@@ -155,11 +164,14 @@ def _alike(percent: int, match: int):
     """Whether sizes and sketches allow the similarity and enough coordinates meet."""
     sizes = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     bits = _unlike("wa", "wb") <= most_unlike(percent)
-    return sizes & bits & (F.size(F.array_intersect("ka", "kb")) >= match) & F.expr("ra <> rb")
+    # The shingles that only one of the two has, at least. As a loop: with as many terms again the generated condition is not compiled.
+    cells = F.zip_with("oa", "ob", lambda a, b: F.bit_count(a.bitwiseXOR(b)))
+    apart = (100 + percent) * F.aggregate(cells, F.lit(0), lambda s, x: s + x) <= (100 - percent) * (F.col("na") + F.col("nb"))
+    return sizes & F.expr("ra <> rb") & bits & apart & (F.size(F.array_intersect("ka", "kb")) >= match)
 
 
 def _side(posted: DataFrame, x: str, *more: Column) -> DataFrame:
-    names = {"c": x, "n": f"n{x}", "keys": f"k{x}", "bits": f"w{x}", "root": f"r{x}"}
+    names = {"c": x, "n": f"n{x}", "keys": f"k{x}", "bits": f"w{x}", "odd": f"o{x}", "root": f"r{x}"}
     return posted.select("key", *more, *(F.col(k).alias(v) for k, v in names.items()))
 
 
@@ -172,7 +184,7 @@ def unsettled(posted: DataFrame, roots: DataFrame) -> DataFrame:
 
 def star_pairs(rooted: DataFrame, percent: int, match: int, turn: int = 0) -> DataFrame:
     """Each class with the likeliest of the centres of its lists; centres are the smallest under a few hash orders."""
-    row = F.struct("c", "n", "keys", "bits", "root")
+    row = F.struct("c", "n", "keys", "bits", "odd", "root")
     orders = [F.min(F.struct(F.xxhash64("c", F.lit(turn), F.lit(i)).alias("h"), row.alias("row"))).alias(f"s{i}") for i in range(CENTRES)]
     centres = rooted.groupBy("key").agg(*orders).select("key", F.explode(F.array_distinct(F.array(*(F.col(f"s{i}.row") for i in range(CENTRES))))).alias("s"))
     met = _side(rooted, "b").join(_side(centres.select("key", "s.*"), "a"), "key").where(_alike(percent, match))
@@ -201,11 +213,11 @@ def open_pairs(rooted: DataFrame, percent: int, match: int) -> DataFrame:
 
 
 def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``c, s, bits``: the full set and the sketch of each of these classes, from one text that has it."""
+    """``c, s, bits, odd``: the full set and the sketches of each of these classes, from one text that has it."""
 
     def make():
         def step(batch):
-            out: dict[str, list] = {"c": [], "s": [], "bits": []}
+            out: dict[str, list] = {"c": [], "s": [], "bits": [], "odd": []}
             held = 0
             key = [batch.column(x).to_pylist() for x in ("c", "d1", "d2")]
             for i, own in shingle_sets(batch, "text", size):
@@ -213,10 +225,11 @@ def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
                     out["c"].append(key[0][i])
                     out["s"].append(own.view(np.int64))
                     out["bits"].append(bit_sketch(own))
+                    out["odd"].append(odd_sketch(own))
                     held += len(own)
                 if held > 500_000:  # sets take more room than their texts
                     yield out
-                    out, held = {"c": [], "s": [], "bits": []}, 0
+                    out, held = {"c": [], "s": [], "bits": [], "odd": []}, 0
             yield out
 
         return step
@@ -226,7 +239,7 @@ def class_sets(docs: DataFrame, classes: DataFrame, id_col: str, text_col: str,
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text_col).alias("t"), F.col(text_col).alias("text"))
     same = (F.col("t") == F.col("rep_text")) & F.col("id").eqNullSafe(F.col("rep"))
     found = texts.join(wanted.hint("shuffle_hash"), same).select("c", "d1", "d2", "text")
-    sets = materialize(map_arrow(found, "c bigint, s array<bigint>, bits array<bigint>", make), "sets")
+    sets = materialize(map_arrow(found, "c bigint, s array<bigint>, bits array<bigint>, odd array<bigint>", make), "sets")
     rows, distinct = sets.agg(F.count("*"), F.countDistinct("c")).first()
     return sets if rows == distinct else materialize(sets.dropDuplicates(["c"]), "sets")
 
@@ -252,7 +265,7 @@ def _grouped(docs: DataFrame, size: int, percent: int, id_col: str, text_col: st
     classes = materialize(classes.withColumn("c", F.monotonically_increasing_id()), "classes")
     posted = materialize(postings(classes, match), "postings")
     sets = class_sets(docs, classes.join(posted.select("c").distinct(), "c", "left_semi"), id_col, text_col, size)
-    posted = materialize(posted.join(sets.select("c", "bits"), "c"), "postings")
+    posted = materialize(posted.join(sets.select("c", "bits", "odd"), "c"), "postings")
     rooted, links, roots = posted.withColumn("root", F.col("c")), None, None
     for turn in range(PASSES + 1):
         pairs = star_pairs(rooted, percent, match, turn) if turn < PASSES else open_pairs(rooted, percent, match)
