@@ -1,87 +1,59 @@
-"""Receipts from two file streams, whatever arrives first: lines wait in state for their document's header."""
+"""Receipts from two file streams, whatever arrives first: lines wait in a table for their document's header."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-from datetime import timedelta
+from collections.abc import Callable
+from datetime import datetime, timedelta
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.streaming import StreamingQuery
 
 from lotflow.plans.jobs import run_receipt_corrections
-from lotflow.sources.schemas import ERP
+from lotflow.session import local_table
+from lotflow.sources import tables
+from lotflow.sources.schemas import DOCUMENT, ENTERED, ERP, LINE, WORK
 from lotflow.sources.tables import CLIENT, of_client
 
-DOCUMENT = ["mandt", "mjahr", "mblnr"]
-ENTERED = ["budat", "cpudt", "cputm"]
-LINE = [field.split()[0] for field in ERP["mseg"].split(", ") if field.split()[0] not in DOCUMENT]
-MATCHED = [*DOCUMENT, *LINE, *ENTERED]
-STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
+def _with_header(lines: DataFrame, headers: DataFrame, how: str) -> DataFrame:
+    named = headers.select(*[F.col(c).alias(f"_{c}") for c in DOCUMENT], *ENTERED)
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in DOCUMENT])
+    return lines.join(named, same, how).drop(*[f"_{c}" for c in DOCUMENT])
 
-def _texts(names: list[str]) -> StructType:
-    """The columns of documents are all text."""
-    schema = StructType()
-    for name in names:
-        schema = schema.add(name, StringType())
-    return schema
 
+def load_documents(
+    spark: SparkSession, work: str, batch: DataFrame, checkpoint: str, number: int, keep: timedelta | None = None
+) -> DataFrame:
+    """Load a micro-batch of lines and headers (``is_header``); returns what it changes in the index.
 
-class MatchDocuments(StatefulProcessor):
-    """Joins a document's lines with its header.
-
-    State of a document: the header once it is there, until then the lines. Lines
-    that come after the header are joined at once, so a document has lines or a
-    header in state, never both.
+    ``mkpf_known`` holds the headers, ``mseg_waiting`` the lines without one. Both,
+    the log of first receipts and the number of the micro-batch change in one
+    commit, so a micro-batch that comes again after a failure changes nothing.
     """
-
-    def __init__(self, keep: timedelta | None):
-        self.keep = None if keep is None else int(keep.total_seconds() * 1000)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.header = handle.getValueState("header", _texts(ENTERED), self.keep)
-        self.lines = handle.getListState("lines", _texts(LINE))
-
-    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        lines, entered = [], None
-        for row in rows:
-            if row.is_header:
-                entered = tuple(row[c] for c in ENTERED)
-            else:
-                lines.append(tuple(row[c] for c in LINE))
-        if entered is not None:
-            self.header.update(entered)
-        elif self.header.exists():
-            entered = tuple(self.header.get())
-        if entered is None:
-            self.lines.appendList(lines)
-            return
-        if self.lines.exists():
-            lines += [tuple(line) for line in self.lines.get()]
-            self.lines.clear()
-        for line in lines:
-            yield Row(**dict(zip(MATCHED, (*key, *line, *entered))))
-
-    def close(self) -> None:
-        pass
-
-
-def match_documents(lines: DataFrame, headers: DataFrame, keep: timedelta | None = None) -> DataFrame:
-    """Receipt lines with their entry columns, each once, as soon as line and header have both arrived.
-
-    ``keep``: how long a header waits for further lines of its document; None is
-    for ever. Lines wait for ever. The state is partitioned by document.
-    """
-    lines.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
-    posted = lines.where(F.col("shkzg") == "S").select(*DOCUMENT, *LINE, F.lit(False).alias("is_header"))
-    entered = headers.select(*DOCUMENT, *ENTERED, F.lit(True).alias("is_header"))
-    return (
-        posted.unionByName(entered, allowMissingColumns=True)
-        .groupBy(*DOCUMENT)
-        .transformWithState(MatchDocuments(keep), _texts(MATCHED), "Append", "None" if keep is None else "ProcessingTime")
-    )
+    seen = tables.version(spark, work)
+    loads = tables.read_work(spark, work, "stream_loads", seen).where(F.col("checkpoint") == checkpoint)
+    last = loads.agg(F.max("number")).first()[0]
+    if last is not None and last >= number:
+        batch = batch.where(F.lit(False))
+    now = int(datetime.now().timestamp() * 1000)
+    known = tables.read_work(spark, work, "mkpf_known", seen)
+    if keep is not None:
+        known = known.where(F.col("arrived") > now - int(keep.total_seconds() * 1000))
+    new = batch.where("is_header").select(*DOCUMENT, *ENTERED, F.lit(now).cast("long").alias("arrived"))
+    lines = tables.read_work(spark, work, "mseg_waiting", seen).unionByName(batch.where("NOT is_header").select(*DOCUMENT, *LINE))
+    headers = known.unionByName(new)
+    # without a limit of time the headers only grow
+    headers_as = {"replace": {"mkpf_known": headers}} if keep is not None else {"append": {"mkpf_known": new}}
+    waiting = _with_header(lines, headers, "left_anti")
+    load = local_table(spark, [(checkpoint, number)], WORK["stream_loads"])
+    return run_receipt_corrections(
+        spark, work, _with_header(lines, headers, "inner"), seen,
+        replace={"mseg_waiting": waiting, **headers_as.get("replace", {})},
+        append={"stream_loads": load, **headers_as.get("append", {})},
+    )
 
 
 def stream_receipts(
@@ -101,21 +73,24 @@ def stream_receipts(
     receipts holds the index of all documents that are complete. ``changed`` gets
     what each micro-batch changed in the index, to be passed on to lots, billing and
     edges; it may get a micro-batch again after a failure, then without changes
-    that were stored.
+    that were stored. ``keep``: how long a header waits for further lines of its
+    document; None is for ever. Lines wait for ever. Of several headers of a
+    document the earliest counts, as in a full load.
     """
 
     def read(path: str, name: str) -> DataFrame:
         return of_client(spark.readStream.schema(ERP[name]).option("maxFilesPerTrigger", files).parquet(path), client)
 
     def load(batch: DataFrame, number: int) -> None:
-        changes = run_receipt_corrections(batch.sparkSession, work, batch)
+        changes = load_documents(batch.sparkSession, work, batch, checkpoint, number, keep)
         if changed:
             changed(changes, number)
 
+    lines = read(lines_path, "mseg").where(F.col("shkzg") == "S").select(*DOCUMENT, *LINE, F.lit(False).alias("is_header"))
+    headers = read(headers_path, "mkpf").select(*DOCUMENT, *ENTERED, F.lit(True).alias("is_header"))
     return (
-        match_documents(read(lines_path, "mseg"), read(headers_path, "mkpf"), keep)
-        .writeStream.outputMode("append")
-        .foreachBatch(load)
+        lines.unionByName(headers, allowMissingColumns=True)
+        .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

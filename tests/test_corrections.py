@@ -1,6 +1,7 @@
 """First receipts from documents in any order, and what a correction changes elsewhere."""
 
 import random
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from lotflow.operators.orders import correct_edges, order_edges
 from lotflow.operators.receipts import INDEX_COLUMNS, corrected, first_receipt, receipt_lines
 from lotflow.plans.jobs import compact_receipts, corrected_index, run_receipt_corrections
 from lotflow.sources.tables import read_work
-from lotflow.streaming.documents import stream_receipts
+from lotflow.streaming.documents import load_documents, stream_receipts
 
 
 def documents(seed, count=40):
@@ -138,3 +139,34 @@ def test_changes_reach_lots_billing_and_edges(spark, table, rows, tmp_path):
             assert r.aufnr in ("P1", "P3")
         else:
             assert r.asDict() == full[r.rid].asDict()
+
+
+def test_a_micro_batch_that_comes_again_changes_nothing(spark, table, rows, tmp_path):
+    work = str(tmp_path)
+    doc, late = dict(mjahr="2020", mblnr="D1"), dict(mjahr="2020", mblnr="D2")
+    lines = table("mseg", dict(doc, zeile="1", matnr="M", charg="C", shkzg="S"), dict(late, zeile="1", matnr="N", charg="C", shkzg="S"))
+    heads = table("mkpf", dict(doc, cpudt="20200102", cputm="1", budat="20200102"))
+    batch = lines.withColumn("is_header", F.lit(False)).unionByName(heads.withColumn("is_header", F.lit(True)), allowMissingColumns=True)
+    assert rows(load_documents(spark, work, batch, "c", 0), "change", "matnr") == [("+", "M")]
+    for _ in range(2):
+        assert rows(load_documents(spark, work, batch, "c", 0)) == []
+        assert rows(read_work(spark, work, "mseg_waiting"), "mblnr") == [("D2",)]
+        assert rows(read_work(spark, work, "mkpf_known"), "mblnr") == [("D1",)]
+    # headers go after their time, and lines that come then wait
+    again = batch.where("NOT is_header AND mblnr = 'D1'").withColumn("zeile", F.lit("2")).withColumn("matnr", F.lit("O"))
+    assert rows(load_documents(spark, work, again, "c", 1, keep=timedelta(days=1)), "matnr") == [("O",)]
+    assert rows(load_documents(spark, work, again.withColumn("matnr", F.lit("P")), "c", 2, keep=timedelta(0))) == []
+    assert rows(read_work(spark, work, "mseg_waiting"), "mblnr", "matnr") == [("D1", "P"), ("D2", "N")]
+    late_head = table("mkpf", dict(late, cpudt="20200103", cputm="1", budat="20200103")).withColumn("is_header", F.lit(True))
+    late_head = batch.where("false").unionByName(late_head, allowMissingColumns=True)
+    assert rows(load_documents(spark, work, late_head, "other", 0), "matnr") == [("N",)]
+
+
+def test_documents_are_joined_without_python_rows(spark, table, tmp_path, monkeypatch):
+    """A micro-batch is joined by Spark; no process is called per document."""
+    paths = [str(tmp_path / name) for name in ("mseg", "mkpf", "work", "check")]
+    for name, path in zip(("mseg", "mkpf"), paths):
+        table(name, dict(mjahr="2020", mblnr="D1")).write.parquet(path)
+    query = stream_receipts(spark, *paths)
+    query.awaitTermination()
+    assert not query.lastProgress.stateOperators
