@@ -79,34 +79,51 @@ def _gradients(w: dict, x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> dic
     return g
 
 
-def train(x: np.ndarray, y: np.ndarray, epochs: int = 12, batch: int = 128, rate: float = 0.004, seed: int = 5) -> dict:
-    """Weights after ``epochs`` of Adam; both classes weigh the same in sum."""
+def start_state(seed: int = 5) -> list[dict]:
+    """Weights and the two moments of Adam."""
     w = start_weights(seed)
-    order = np.random.Generator(np.random.PCG64(seed + 1))
-    share = max(y.mean(), 1e-6)
-    weight = np.where(y > 0, 0.5 / share, 0.5 / max(1 - share, 1e-6))
-    first, second, t = {k: 0 * v for k, v in w.items()}, {k: 0 * v for k, v in w.items()}, 0
-    for _ in range(epochs):
-        shuffled = order.permutation(len(x))
-        for i in range(0, len(x), batch):
-            pick, t = shuffled[i : i + batch], t + 1
-            for k, g in _gradients(w, x[pick], y[pick], weight[pick]).items():
-                first[k] = 0.9 * first[k] + 0.1 * g
-                second[k] = 0.999 * second[k] + 0.001 * g * g
-                w[k] = w[k] - rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
-    return w
-
-
-def calibrate(scores: np.ndarray, y: np.ndarray, rounds: int = 200) -> tuple[float, float]:
-    """Slope and shift of the logistic curve that turns logits into probabilities."""
+    return [w, {k: 0 * v for k, v in w.items()}, {k: 0 * v for k, v in w.items()}]
+
+
+def flat(state: list[dict]) -> np.ndarray:
+    return np.concatenate([v.ravel() for part in state for v in part.values()])
+
+
+def shaped(values: np.ndarray) -> list[dict]:
+    """The state that ``flat`` made one row of numbers."""
+    state, at = start_state(), 0
+    for part in state:
+        for k, v in part.items():
+            part[k] = values[at : at + v.size].reshape(v.shape)
+            at += v.size
+    return state
+
+
+def epoch(state: list[dict], x: np.ndarray, y: np.ndarray, share: float, turn: int, batch: int = 128, rate: float = 0.004, seed: int = 6) -> list[dict]:
+    """The state after one pass of Adam over the rows; ``share`` of all rows are findings, and both classes weigh the same in sum."""
+    w, first, second = ({k: v.copy() for k, v in part.items()} for part in state)
+    weight = np.where(y > 0, 0.5 / max(share, 1e-6), 0.5 / max(1 - share, 1e-6))
+    shuffled = np.random.Generator(np.random.PCG64([seed, turn])).permutation(len(x))
+    t = turn * -(-len(x) // batch)
+    for i in range(0, len(x), batch):
+        pick, t = shuffled[i : i + batch], t + 1
+        for k, g in _gradients(w, x[pick], y[pick], weight[pick]).items():
+            first[k] = 0.9 * first[k] + 0.1 * g
+            second[k] = 0.999 * second[k] + 0.001 * g * g
+            w[k] = w[k] - rate * (first[k] / (1 - 0.9**t)) / (np.sqrt(second[k] / (1 - 0.999**t)) + 1e-8)
+    return [w, first, second]
+
+
+def calibrate(scores: np.ndarray, y: np.ndarray, n: np.ndarray, rounds: int = 200) -> tuple[float, float]:
+    """Slope and shift of the logistic curve that turns logits into probabilities; ``n`` rows have a score and label."""
     a, b = 1.0, 0.0
     # Targets kept off 0 and 1, as few findings do not prove certainty.
-    positive, negative = y.sum(), len(y) - y.sum()
+    positive, negative = n[y > 0].sum(), n[y <= 0].sum()
     goal = np.where(y > 0, (positive + 1) / (positive + 2), 1 / (negative + 2))
     for _ in range(rounds):
         p = 1 / (1 + np.exp(-np.clip(a * scores + b, -30, 30)))
-        slope = p * (1 - p) + 1e-6
-        gradient = np.array([((p - goal) * scores).sum(), (p - goal).sum()])
+        slope = (p * (1 - p) + 1e-6) * n
+        gradient = np.array([((p - goal) * n * scores).sum(), ((p - goal) * n).sum()])
         hessian = np.array([[(slope * scores**2).sum() + 1e-3, (slope * scores).sum()], [(slope * scores).sum(), slope.sum() + 1e-3]])
         step = np.linalg.solve(hessian, gradient)
         a, b = a - step[0], b - step[1]

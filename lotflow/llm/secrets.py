@@ -3,8 +3,8 @@
 Method: findings of the patterns and generated ones label candidates (runs of 16
 or more key characters that hold a digit). A character convolutional network
 reads each candidate with 32 characters before and 16 after it. Its logits are
-calibrated on a part kept from training, and the threshold is the highest that
-still finds the wanted share of that part's findings. Candidates above it that
+calibrated on a part kept from training, and the threshold is the highest level that
+still finds the wanted share of that part's findings. All candidates of the corpus take part. Candidates above it that
 touch no pattern finding are added.
 """
 
@@ -12,13 +12,16 @@ from __future__ import annotations
 
 import re
 import string
+import zlib
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lotflow.llm import charnet
 from lotflow.llm.common import append, map_arrow, table, texts
+from lotflow.session import local_table, materialize
 
 # The patterns of the base findings and their least lengths.
 ASSIGN = re.compile(r"""(?ai:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -30,8 +33,12 @@ ADDED = "model"
 
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{16,}")
 _DIGIT = re.compile(r"[0-9]")
-#: Labelled rows of each class for training, found in the corpus; as many again are generated.
-SAMPLE = 1500
+#: Generated rows that do not depend on the corpus.
+PLAIN = 3000
+#: Passes over all examples, examples of a slice, and slices whose weights the driver averages; beyond that slices grow.
+EPOCHS, SLICE, MOST_SLICES = 12, 4096, 256
+#: Levels of a logit, and the logit beyond which there are no more.
+LEVELS, TOP = 64, 64
 SPANS = "spans array<struct<kind:string,start:bigint,end:bigint,score:double>>"
 
 
@@ -99,29 +106,87 @@ def _generated(contexts: list[str], count: int, seed: int = 11) -> tuple[list[st
     return windows, labels
 
 
-def fit(docs: DataFrame, text_col: str = "text", sample: int = SAMPLE, recall: float = 0.98) -> dict:
-    """The network's weights, its calibration and its threshold.
+def _examples(docs: DataFrame, text_col: str) -> DataFrame:
+    """``window, label`` of all different candidates of the corpus, one generated for each of them from its context, and the plain generated ones."""
 
-    Trained on at most ``sample`` found windows of each class (those with the
-    smallest hashes among all distinct ones) and twice as many generated ones. A
-    fifth is kept from training for calibration and threshold. A table without
-    candidates leaves the generated ones.
+    def make():
+        def step(batch):
+            out: dict[str, list] = {"window": [], "label": []}
+            for window, label in zip(batch.column("window").to_pylist(), batch.column("label").to_pylist()):
+                seed = zlib.crc32(window.encode("utf-8", "surrogatepass"))
+                made, labels = _generated([window[: charnet.BEFORE]], 2, seed)
+                out["window"] += [window, made[seed & 1]]
+                out["label"] += [label, labels[seed & 1]]
+            return out
+
+        return step
+
+    plain = local_table(docs.sparkSession, list(zip(*_generated([], PLAIN))), "window string, label int")
+    return map_arrow(_findings(docs, text_col).distinct(), "window string, label int", make).unionByName(plain)
+
+
+def _passed(examples: DataFrame, state: list[dict], share: float, turn: int) -> list[dict]:
+    """The state after a pass over all examples: every slice goes on from ``state``, and their results are averaged."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("window", "ascending"), ("label", "ascending")])
+        y = rows["label"].to_numpy().astype(np.float64)
+        after = charnet.epoch(state, charnet.codes(rows["window"].to_pylist()), y, share, turn)
+        return pa.table({"slice": rows["slice"][:1], "n": [len(y)], "state": pa.array([charnet.flat(after)], pa.list_(pa.float64()))})
+
+    parts = examples.groupBy("slice").applyInArrow(run, "slice long, n long, state array<double>").collect()
+    parts.sort(key=lambda r: r["slice"])  # sums of floats depend on their order
+    return charnet.shaped(np.average([r["state"] for r in parts], axis=0, weights=[r["n"] for r in parts]))
+
+
+def _levels(kept: DataFrame, weights: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """How many examples of each label have a logit of each level, ``1 / LEVELS`` wide."""
+
+    def make():
+        def step(batch):
+            logit = charnet.logits(weights, charnet.codes(batch.column("window").to_pylist()))
+            level = np.floor(np.clip(logit, -TOP, TOP) * LEVELS).astype(np.int64)
+            return {"level": level, "label": batch.column("label")}
+
+        return step
+
+    counted = map_arrow(kept.select("window", "label"), "level long, label int", make).groupBy("level", "label").count()
+    rows = np.array(sorted(tuple(r) for r in counted.collect()), dtype=np.int64).reshape(-1, 3)
+    return rows[:, 0], rows[:, 1].astype(np.float64), rows[:, 2]
+
+
+def _probability(model: dict, logit: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(model["slope"] * logit + model["shift"], -30, 30)))
+
+
+def fit(docs: DataFrame, text_col: str = "text", recall: float = 0.98) -> dict:
+    """The network's weights, its calibration and its threshold, from all candidates of all documents.
+
+    A pass goes over slices of some ``SLICE`` examples in parallel and averages
+    the weights; a table with one slice is trained as one. A fifth of the
+    examples is kept from training for calibration and threshold, which come from
+    counts of all kept ones by logit: the threshold is the lowest probability of
+    a level, so that at least the ``recall`` is found. A table without candidates
+    leaves the generated ones.
     """
-    found = _findings(docs, text_col).distinct()
-    rows = []
-    for label in (0, 1):
-        rows += found.where(F.col("label") == label).orderBy(F.xxhash64("window"), "window").limit(sample).collect()
-    made, labels = _generated([r[0][: charnet.BEFORE] for r in rows], 2 * sample)
-    x = charnet.codes([r[0] for r in rows] + made)
-    y = np.array([r[1] for r in rows] + labels, dtype=np.float64)
-    order = np.random.Generator(np.random.PCG64(3)).permutation(len(x))
-    kept, rest = order[: len(x) // 5], order[len(x) // 5 :]
-    w = charnet.train(x[rest], y[rest])
-    scores = charnet.logits(w, x[kept])
-    a, b = charnet.calibrate(scores, y[kept])
-    p = 1 / (1 + np.exp(-(a * scores + b)))
-    positive = np.sort(p[y[kept] > 0])
-    return {"weights": w, "slope": a, "shift": b, "threshold": float(positive[int((1 - recall) * len(positive))])}
+    key = F.xxhash64("window")
+    examples = _examples(docs, text_col).withColumn("kept", F.pmod(key, F.lit(5)) == 0)
+    examples = materialize(examples.withColumn("hash", F.xxhash64(F.lit(3), "window")), "examples")
+    trained = examples.where(~F.col("kept"))
+    n, positive = trained.agg(F.count(F.lit(1)), F.sum("label")).first()
+    slices = min(max(1, n // SLICE), MOST_SLICES)
+    trained = trained.select("window", "label", F.pmod("hash", F.lit(slices)).cast("long").alias("slice"))
+    state = charnet.start_state()
+    for turn in range(EPOCHS):
+        state = _passed(trained, state, positive / n, turn)
+    level, y, count = _levels(examples.where("kept"), state[0])
+    a, b = charnet.calibrate((level + 0.5) / LEVELS, y, count)
+    model = {"weights": state[0], "slope": a, "shift": b}
+    ends = np.stack([np.where(level <= -TOP * LEVELS, -1e9, level / LEVELS), np.where(level >= TOP * LEVELS, 1e9, (level + 1) / LEVELS)])
+    least = _probability(model, ends).min(axis=0)[y > 0]
+    order = np.argsort(least)
+    missed = np.cumsum(count[y > 0][order])
+    return {**model, "threshold": float(least[order][np.searchsorted(missed, int((1 - recall) * missed[-1]), side="right")])}
 
 
 def scan(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
@@ -144,7 +209,7 @@ def scan(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
                         windows += cut
             if pending:
                 logit = charnet.logits(model["weights"], charnet.codes(windows))
-                p = 1 / (1 + np.exp(-np.clip(model["slope"] * logit + model["shift"], -30, 30)))
+                p = _probability(model, logit)
                 for row, a, b, first, last in pending:
                     score = float(p[first:last].max())
                     if score >= model["threshold"]:

@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from samples import ODD, SF, sorted_rows
-from lotflow.llm import langid, pii, secrets, semicrf
+from lotflow.llm import charnet, langid, pii, secrets, semicrf
 from lotflow.llm.html_text import main_text, op5_html_text
 from lotflow.llm.licenses import scan_licenses
 from lotflow.llm.queries import QUERIES
@@ -84,6 +84,26 @@ def test_network_finds_other_secrets_and_spares_numbers(spark, odd, none):
     assert sorted_rows(same) == sorted_rows(odd) and same.columns == odd.columns
 
 
+def test_network_learns_from_all_candidates(spark, monkeypatch):
+    rng = random.Random(4)
+    text = lambda i: ("token = " if i % 2 else "see ") + "".join(rng.choices("ABCDEFGHIJKLMNOP0123456789", k=24)) + f"{i}"
+    docs = spark.createDataFrame([(text(i),) for i in range(4000)], "text string").repartition(3)
+    seen = {"kept": 0, "trained": []}
+    passed, levels = secrets._passed, secrets._levels
+    monkeypatch.setattr(secrets, "EPOCHS", 2)
+    monkeypatch.setattr(secrets, "SLICE", 2000)
+    monkeypatch.setattr(secrets, "_passed", lambda rows, *rest: seen["trained"].append(rows.groupBy("slice").count().collect()) or passed(rows, *rest))
+    monkeypatch.setattr(secrets, "_levels", lambda rows, *rest: seen.update(kept=rows.count()) or levels(rows, *rest))
+    model = secrets.fit(docs)
+    for slices in seen["trained"]:
+        assert len(slices) == 4 and sum(r["count"] for r in slices) + seen["kept"] == 2 * 4000 + secrets.PLAIN
+    again = secrets.fit(docs.repartition(5))
+    assert model["threshold"] == again["threshold"] and all((model["weights"][k] == again["weights"][k]).all() for k in model["weights"])
+    # one slice is trained as a plain run over all rows
+    state = charnet.start_state()
+    assert all((a[k] == b[k]).all() for a, b in zip(state, charnet.shaped(charnet.flat(state))) for k in a)
+
+
 def test_field_sums_equal_enumeration():
     text = "call 555-0123 now"
     cut = semicrf.tokens(text)
