@@ -9,7 +9,7 @@ from functools import cached_property, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lotflow.bindings.tables import EXTRACTED, JOINED, SNAPSHOT_DAYS, driver_table, view
+from lotflow.bindings.tables import EXTRACTED, SNAPSHOT_DAYS, driver_table, view
 from lotflow.functions import scalars as S
 from lotflow.operators import allocation, explosion, history, monthend, orders, receipts, report
 from lotflow.operators.routes import Routes, candidate_sources
@@ -48,14 +48,15 @@ class Tables:
     Where a table is one small file, the tables made from lineitem and orders are
     extracted to parquet once, dealt out to all cores and shared by all queries;
     larger ones are read as they are, with the columns and rows a query needs. The
-    index of first receipts and the order postings that depend on it are written once.
+    index of first receipts, the order postings that depend on it and the open demand
+    are written once.
     """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir, self._made = spark, sf_dir, {}
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in JOINED or name in EXTRACTED and self._small:
+        if name in EXTRACTED and self._small:
             return self._extract(name, lambda: view(self.spark, self.sf_dir, name))
         return view(self.spark, self.sf_dir, name)
 
@@ -102,7 +103,7 @@ class Tables:
 
     @property
     def demand(self) -> DataFrame:
-        return allocation.demand_lines(self["zsd0012"])
+        return self._extract("demand", lambda: allocation.demand_lines(self["zsd0012"]))
 
     @property
     def fifo_pairs(self) -> DataFrame:

@@ -231,9 +231,6 @@ EXTRACTED = (
     "jest", "aufkx", "afpo", "ziebp023",
 )
 
-# extracted in any case: a join that a query reads several times
-JOINED = ("zsd0012",)
-
 # A posting is an order's output when it is the first receipt of its batch, otherwise it is a consumption.
 # Orders that post batches of each other lie on cycles.
 AUFM = f"""

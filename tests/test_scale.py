@@ -93,3 +93,62 @@ def test_larger_input_is_read_as_it_is(spark, tmp_path, monkeypatch):
     t = queries.Tables(spark, str(tmp_path))
     monkeypatch.setattr(queries.Tables, "_small", False)
     assert all("lineitem.parquet" in f for f in t["mseg"].inputFiles()) and t["mseg"].count() == 9
+
+
+def test_work_tables_are_written_small(spark, tmp_path):
+    assert spark.conf.get("spark.sql.parquet.compression.codec") == "zstd"
+
+
+def edge_inputs(spark, table):
+    aufm = table("aufm", *[dict(aufnr=a, matnr=m, charg="1") for a, m in (("a", "M1"), ("a", "M1"), ("a", "M2"), ("b", "M2"), ("c", "M1"), ("a", "M3"))])
+    made = spark.createDataFrame([("M1", "1", "b"), ("M2", "1", "b"), ("M3", "1", " ")], "matnr string, charg string, aufnr string")
+    jest = table("jest", *[dict(objnr=o, stat="I0045", chgnr="7") for o in ("ORa", "ORb", "XXc")])
+    return aufm, jest, made
+
+
+def test_edges_pass_two_shuffles_of_postings(spark, table, rows):
+    edges = orders.order_edges(*edge_inputs(spark, table))
+    assert rows(edges) == [("a", "I0045", "7", "b"), ("a", "I0045", "7", None), ("b", "I0045", "7", None)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = orders.order_edges(*edge_inputs(spark, table))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 5  # two of the postings, one of the index, two of the states; postings and edges were made distinct by two more
+
+
+def test_links_are_read_from_the_edges(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(orders, "materialize", lambda df, name, write=orders.materialize: written.append(name) or write(df, name))
+    edges = spark.createDataFrame([("a", "I", "1", "b"), ("a", "I", "1", "b"), ("b", "I", "1", "c"), ("a", "I", "1", "c")], "aufnr string, stat string, chgnr string, submo string")
+    levels, _ = orders.order_levels(spark.createDataFrame([("a",)], "aufnr string"), edges)
+    assert {r.aufnr: r.bomlv for r in levels.collect()} == {"a": 1, "b": 2, "c": 3}
+    assert "links" not in written
+
+
+def test_totals_take_what_the_rows_hold(spark):
+    split = spark.createDataFrame(
+        [("a", "M", "C", "ST", 2, 4, " ", None, False), ("a", "W", "C", "ST", 6, 8, "ZIEBP023", None, True), ("a", "V", "C", "ST", 6, 8, "b", 3, True)],
+        "aufnr string, matnr string, charg string, meins string, menge decimal(13,3), dmbtr decimal(15,2), waufnr string, wmoqty decimal(23,3), is_wip boolean",
+    )
+    bom = spark.createDataFrame([("2300", "L400", "E23070000001", "W", "C", "P", 5)], "bnarea string, bukrs string, connr string, matnr string, charg string, idnrk string, menge decimal(13,3)")
+    wip = explosion.wip_postings(split)
+    key = ["aufnr", "matnr", "charg", "meins", "qty", "amt"]
+    wide = split.withColumns({c: F.lit("1") for c in ("rsnum", "rspos", *explosion.POSTING[1:])})
+    want = explosion.bonded_bom_rows(explosion.wip_postings(wide), bom).unionByName(explosion.pure_material_rows(wide))
+    assert sorted(explosion.own_use(split, wip, bom).select(key).collect()) == sorted(want.select(key).collect())
+
+
+def test_open_demand_is_made_once(spark, monkeypatch):
+    t = queries.Tables(spark, "/root/testdata/sf0.001")
+    monkeypatch.setattr(queries.Tables, "_small", False)
+    monkeypatch.setattr(queries, "_EXTRACTS", {})
+    assert t.demand.inputFiles() == t.demand.inputFiles() and all("/demand-" in f for f in t.demand.inputFiles())
+    assert any("lineitem" in f for f in t["zsd0012"].inputFiles())
+
+
+def test_corrections_take_the_index_from_the_first_load(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(queries.receipts, "first_receipt", lambda *args, make=queries.receipts.first_receipt: made.append(1) or make(*args))
+    queries.QUERIES["corrected_lots"](spark, "/root/testdata/sf0.001")
+    assert not made
