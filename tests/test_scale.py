@@ -1,5 +1,7 @@
 """What is written and moved grows with what changes, not with everything at every step."""
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -127,11 +129,12 @@ def test_links_are_read_from_the_edges(spark, monkeypatch):
 
 
 def test_totals_take_what_the_rows_hold(spark):
+    n = Decimal
     split = spark.createDataFrame(
-        [("a", "M", "C", "ST", 2, 4, " ", None, False), ("a", "W", "C", "ST", 6, 8, "ZIEBP023", None, True), ("a", "V", "C", "ST", 6, 8, "b", 3, True)],
+        [("a", "M", "C", "ST", n(2), n(4), " ", None, False), ("a", "W", "C", "ST", n(6), n(8), "ZIEBP023", None, True), ("a", "V", "C", "ST", n(6), n(8), "b", n(3), True)],
         "aufnr string, matnr string, charg string, meins string, menge decimal(13,3), dmbtr decimal(15,2), waufnr string, wmoqty decimal(23,3), is_wip boolean",
     )
-    bom = spark.createDataFrame([("2300", "L400", "E23070000001", "W", "C", "P", 5)], "bnarea string, bukrs string, connr string, matnr string, charg string, idnrk string, menge decimal(13,3)")
+    bom = spark.createDataFrame([("2300", "L400", "E23070000001", "W", "C", "P", n(5))], "bnarea string, bukrs string, connr string, matnr string, charg string, idnrk string, menge decimal(13,3)")
     wip = explosion.wip_postings(split)
     key = ["aufnr", "matnr", "charg", "meins", "qty", "amt"]
     wide = split.withColumns({c: F.lit("1") for c in ("rsnum", "rspos", *explosion.POSTING[1:])})
