@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lotflow.bindings import queries
 from lotflow.operators import explosion, orders
 from lotflow.operators.monthend import replace_period
+from lotflow.session import materialize
 
 ORDERS = 12
 
@@ -155,3 +156,15 @@ def test_corrections_take_the_index_from_the_first_load(spark, monkeypatch):
     monkeypatch.setattr(queries.receipts, "first_receipt", lambda *args, make=queries.receipts.first_receipt: made.append(1) or make(*args))
     queries.QUERIES["corrected_lots"](spark, "/root/testdata/sf0.001")
     assert not made
+
+
+def test_what_is_large_in_memory_is_not_sent_to_all_tasks(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "4m")
+    try:
+        orders_of = lambda n: materialize(spark.range(n).select(F.format_string("0010%08d", "id").alias("aufnr")), "orders")
+        many, few = orders_of(200_000), orders_of(100)
+        plans = [many.join(side, "aufnr", "left_semi")._jdf.queryExecution().executedPlan().toString() for side in (orders_of(200_000), few)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # some 20 MB as a table in memory, in files of a few hundred kB
+    assert "BroadcastExchange" not in plans[0] and "BroadcastExchange" in plans[1]
