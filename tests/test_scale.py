@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lotflow.bindings import queries
+from lotflow.bindings.tables import view
 from lotflow.operators import explosion, orders
 from lotflow.operators.monthend import replace_period
 from lotflow.session import materialize
@@ -168,3 +169,18 @@ def test_what_is_large_in_memory_is_not_sent_to_all_tasks(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # some 20 MB as a table in memory, in files of a few hundred kB
     assert "BroadcastExchange" not in plans[0] and "BroadcastExchange" in plans[1]
+
+
+def test_postings_meet_the_index_without_sorts_by_expressions(spark, tmp_path):
+    line = "1L AS l_orderkey, 2L AS l_partkey, 3L AS l_suppkey, 1 AS l_linenumber, 4D AS l_quantity, 5D AS l_extendedprice, 0D AS l_discount"
+    lines = spark.sql(f"SELECT {line}, timestamp_ntz'2020-01-02 00:00:00' AS l_shipdate")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    index = spark.createDataFrame([("0000000001", "01-00000002-000003-4-500-20200102"), ("0000000002", None)], "mblnr string, zeile string")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        posted = view(spark, str(tmp_path), "aufm", mch1x=index)
+        plan = posted._jdf.queryExecution().executedPlan().toString()
+        assert [(r.rspos, r.bwart) for r in posted.collect()] == [("0000", "101")]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "ShuffledHashJoin" in plan and "Sort " not in plan
