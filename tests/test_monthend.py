@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from lotflow.operators import monthend as M
 from lotflow.plans.jobs import run_month_end
@@ -78,3 +79,27 @@ def test_job_replaces_open_slices_and_leaves_released_ones(spark, erp, index, ta
     run_month_end(spark, work, erp)
     assert stored() == first[:3]
     assert rows(spark.read.parquet(f"{work}/aufkx"), "aufnr") == [("A",), ("B",)]
+
+
+def test_both_sides_of_the_items_are_gone_when_lines_meet_their_batch(spark, erp, index):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = M.billing_trace(erp["ce13058"], erp["vbrp"], index)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "hashpartitioning(artnr" in plan and "hashpartitioning(rbeln" not in plan
+
+
+def test_a_correction_shuffles_no_id_that_follows_from_its_line(spark, erp, index, table, rows):
+    stored = M.billing_trace(erp["ce13058"], erp["vbrp"], index)
+    given = F.when(F.col("posnr") == "2", "own").when(F.col("vbeln") == "1", F.col("rid"))
+    stored = stored.withColumn("rid", given)
+    want = rows(stored.where("perio = '2020001'"), "posnr", "rid")
+    changed = table("mch1x", dict(matnr="M", charg="CA", budat="20180101", aufnr="C"))
+    got = M.correct_trace(stored, changed)
+    # a given id stays, also a missing one
+    assert rows(got, "posnr", "rid") == want and ("2", "own") in want
+    assert rows(M.correct_trace(stored.withColumn("rid", F.lit(None).cast("string")), changed), "rid") == [(None,), (None,)]
+    assert {r.aufnr for r in got.collect()} == {"C", "B"} and got.columns == M.TRACE_COLUMNS
+    plan = got._jdf.queryExecution().optimizedPlan().toString().split("Join LeftOuter", 1)[1].splitlines()[1]
+    assert "_rid#" in plan and " rid#" not in plan.split("AS _rid#")[1]
